@@ -1,0 +1,82 @@
+"""The whole cohort derivation as one Spark plan.
+
+Plan shape (per run):
+
+1. read both extracts as text, harmonise, UNION ALL;
+2. optionally write that input once to the shared checkpoint folder (cuts
+   lineage, gives a stable row id, and lets the two branches below re-read
+   only the columns they need);
+3. narrow branch: row id + the dedup key columns -> four family ordinals
+   (skew-safe, see ``operators.windows``);
+4. wide branch: the raw text rows joined to the ordinals on the row id (the
+   only shuffle of wide rows), then every per-row rule as a few collapsed
+   projections, then flags and labels.
+
+Every rule is a built-in Column expression: no Python runs per row.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortkit import vocab
+from cohortkit.operators import dedup, harmonise as hz, rules
+from cohortkit.session import scratch_path
+from cohortkit.sources.csv import read_extract
+
+ROW_ID = "__row_id"
+
+
+def with_row_id(spark: SparkSession, df: DataFrame, name: str = ROW_ID) -> DataFrame:
+    """Materialise ``df`` with a unique id in the shared checkpoint folder.
+
+    The id comes from the partition and position of each row and is written
+    out once, so every later read sees the same ids (recomputing it from an
+    unmaterialised plan could renumber rows after a lost executor).
+    """
+    path = scratch_path(spark, "cohort-input")
+    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DATE_COLUMNS,
+           report_period=vocab.REPORT_PERIOD, as_of=None, vocabulary: str = "reference",
+           visit_key: Sequence[str] | None = None, bucket_rows: int | None = None,
+           keep_in_care: bool = False) -> DataFrame:
+    """All derived columns for harmonised text rows.
+
+    ``row_id`` names a unique, non-NULL integer column (it orders rows
+    within duplicate groups). ``as_of`` (default: the report period) is the
+    date ages are counted to.
+    """
+    base = rules.normalise_names(df)
+    rules.check_inputs(base, date_columns)
+    row_id = rules.resolve(base, row_id)
+    opts = dict(date_columns=date_columns, report_period=report_period, as_of=as_of,
+                vocabulary=vocabulary, visit_key=visit_key, row_id=row_id,
+                bucket_rows=bucket_rows)
+    keyed = rules.row_rules(base, **opts, upto="normalise_patient")
+    ranks = dedup.family_ranks(keyed, row_id, bucket_rows=bucket_rows)
+    rows = rules.row_rules(base.join(ranks, row_id, "inner"), **opts)
+    out = dedup.label_ranks(dedup.guid_unify(rows))
+    return out if keep_in_care else out.drop(rules.IN_CARE)
+
+
+def run(spark: SparkSession, plus_paths: str | Sequence[str], legacy_paths: str | Sequence[str],
+        *, report_period=vocab.REPORT_PERIOD, as_of=None,
+        mapping: dict[str, str] = vocab.COLUMN_MAPPING, row_id: str | None = None,
+        **kwargs) -> DataFrame:
+    """Read both CSV extracts and derive the cohort frame (not yet written).
+
+    Without ``row_id`` the harmonised input is first written to the shared
+    checkpoint folder with a generated id.
+    """
+    combined = hz.harmonise(read_extract(spark, plus_paths), read_extract(spark, legacy_paths),
+                            mapping)
+    if row_id is None:
+        combined, row_id = with_row_id(spark, combined), ROW_ID
+    out = cohort(combined, row_id, report_period=report_period, as_of=as_of, **kwargs)
+    return out.drop(ROW_ID) if row_id == ROW_ID else out
