@@ -9,6 +9,6 @@ Layers:
 * ``cohortkit.streaming`` - the per-row rules on a streaming source.
 """
 
-from cohortkit.plans.pipeline import cohort, run
+from cohortkit.plans.cohort import cohort, run
 
 __all__ = ["cohort", "run"]
