@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cohortkit import vocab
-from cohortkit.functions.coerce import as_double, as_int, as_number_for, col_, days_between
+from cohortkit.functions.coerce import Numeric, as_double, as_int, col_, days_between
 
 
 def _chain(cases, otherwise=None) -> Column:
@@ -24,9 +24,9 @@ def _chain(cases, otherwise=None) -> Column:
     return out
 
 
-def _between(x, lo, hi) -> Column:
+def _between(x: Numeric, lo, hi) -> Column:
     """``x BETWEEN lo AND hi`` with each bound read in its own literal type."""
-    return (as_number_for(x, lo) >= lo) & (as_number_for(x, hi) <= hi)
+    return (x.for_(lo) >= lo) & (x.for_(hi) <= hi)
 
 
 # ---------------------------------------------------------------- normalise
@@ -84,20 +84,22 @@ def age_group(age) -> Column:
 
 
 def weight_category(weight) -> Column:
+    w = Numeric(col_(weight))
     top, top_label = vocab.WEIGHT_TOP
-    cases = [(_between(weight, lo, hi), label) for lo, hi, label in vocab.WEIGHT_BANDS]
-    cases.append((as_number_for(weight, top) >= top, top_label))
+    cases = [(_between(w, lo, hi), label) for lo, hi, label in vocab.WEIGHT_BANDS]
+    cases.append((w.for_(top) >= top, top_label))
     return _chain(cases)
 
 
 def bmi_category(bmi) -> Column:
+    b = Numeric(col_(bmi))
     cases = []
     for lo, hi, label in vocab.BMI_BANDS:
         cond = None
         if lo is not None:
-            cond = as_number_for(bmi, lo) >= lo
+            cond = b.for_(lo) >= lo
         if hi is not None:
-            upper = as_number_for(bmi, hi) < hi
+            upper = b.for_(hi) < hi
             cond = upper if cond is None else cond & upper
         cases.append((cond, label))
     return _chain(cases)
@@ -107,7 +109,7 @@ def linkage_category(art_start, hiv_test) -> Column:
     days = days_between(art_start, hiv_test)
     cases = []
     for lo, hi, label in vocab.LINKAGE_BANDS:
-        cond = days >= lo if hi is None else days.between(lo, hi)
+        cond = days >= lo if hi is None else (days >= lo) & (days <= hi)
         cases.append((cond, label))
     return _chain(cases)
 
@@ -123,7 +125,7 @@ def art_cohort(months) -> Column:
         (lo, lo + 11, f"({lo}-{lo + 11})")
         for lo in range(vocab.ART_COHORT_YEARLY_FROM, vocab.ART_COHORT_YEARLY_TO, 12)
     ]
-    return _chain([(m.between(lo, hi), label) for lo, hi, label in bands],
+    return _chain([((m >= lo) & (m <= hi), label) for lo, hi, label in bands],
                   vocab.ART_COHORT_REST)
 
 

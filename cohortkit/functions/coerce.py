@@ -46,6 +46,23 @@ def as_number_for(c, literal) -> Column:
     return as_int(c) if isinstance(literal, int) else as_double(c)
 
 
+class Numeric:
+    """Both numeric readings of one text column, built once and reused by
+    every comparison of a rule."""
+
+    def __init__(self, c):
+        self._c, self._int, self._dbl = c, None, None
+
+    def for_(self, literal) -> Column:
+        if isinstance(literal, int):
+            if self._int is None:
+                self._int = as_int(self._c)
+            return self._int
+        if self._dbl is None:
+            self._dbl = as_double(self._c)
+        return self._dbl
+
+
 def parse_date(c) -> Column:
     """Lenient yyyy-MM-dd parse: leading blanks, 1-digit month/day and any
     trailing text are accepted; impossible dates and other layouts are NULL."""

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_ROWS = 1 << 20
 BUCKET_ROWS_CONF = "cohortkit.window.bucketRows"
 
-_GK, _B, _LOC, _N, _OFF, _MIN, _MAX = ("__gk", "__bucket", "__local_rn", "__n", "__offset",
-                                       "__gmin", "__gmax")
+_GK, _B, _LOC, _N, _OFF, _MIN, _MAX, _FIRST = (
+    "__gk", "__bucket", "__local_rn", "__n", "__offset", "__gmin", "__gmax", "__first_id")
 
 
 def bucket_rows_for(df: DataFrame, bucket_rows: int | None) -> int:
@@ -54,12 +54,16 @@ def _keyed(df: DataFrame, keys: Sequence[str], row_id: str, bucket_rows: int) ->
 
 def group_ordinal(df: DataFrame, keys: Sequence[str], row_id: str, out: str,
                   bucket_rows: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY keys ORDER BY row_id)`` as ``out`` (BIGINT).
+    """``row_id`` and ``row_number() OVER (PARTITION BY keys ORDER BY row_id)``
+    as ``out`` (BIGINT), one row per input row; join it back on ``row_id``.
 
     ``row_id`` must be a unique, non-NULL integer column.
     """
     width = bucket_rows_for(df, bucket_rows)
-    x = _keyed(df, keys, row_id, width)
+    # Exactly (row id, group, bucket): the sizes branch below then plans the
+    # same shuffle as the row branch and Spark reuses it.
+    x = df.select(F.col(row_id), F.struct(*[F.col(k) for k in keys]).alias(_GK),
+                  _id_bucket(row_id, width).alias(_B))
     x = x.withColumn(_LOC, F.row_number().over(Window.partitionBy(_GK, _B).orderBy(row_id)))
     # Rows per (group, bucket); x is already clustered on (group, bucket).
     sizes = x.groupBy(_GK, _B).agg(F.max(_LOC).alias(_N))
@@ -69,8 +73,31 @@ def group_ordinal(df: DataFrame, keys: Sequence[str], row_id: str, out: str,
                     .where(F.col(_OFF).isNotNull())
                     .select(_GK, _B, _OFF))
     y = x.join(offsets, [_GK, _B], "left")
-    return (y.withColumn(out, F.col(_LOC) + F.coalesce(F.col(_OFF), F.lit(0)))
-             .drop(_GK, _B, _LOC, _OFF))
+    return y.select(row_id, (F.col(_LOC) + F.coalesce(F.col(_OFF), F.lit(0))).alias(out))
+
+
+def group_first_ids(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
+    """The smallest ``row_id`` of every key group (one column, ``__first_id``).
+
+    A map-side-combined aggregate: a huge group costs one partial row per
+    input partition, never one task holding the group.
+    """
+    return df.groupBy(*keys).agg(F.min(row_id).alias(_FIRST)).select(_FIRST)
+
+
+def mark_first(rows: DataFrame, first_ids: DataFrame, row_id: str, out: str) -> DataFrame:
+    """``rows`` plus INT ``out``: 1 where the row id is a group's first id.
+
+    The match is a join on the row id itself, which no key skew can unbalance.
+    """
+    joined = rows.join(first_ids, rows[row_id] == first_ids[_FIRST], "left")
+    return joined.withColumn(out, F.col(_FIRST).isNotNull().cast("int")).drop(_FIRST)
+
+
+def first_in_group(df: DataFrame, keys: Sequence[str], row_id: str, out: str) -> DataFrame:
+    """``row_id`` and ``(row_number() OVER (PARTITION BY keys ORDER BY row_id) = 1)``
+    as INT ``out``, one row per input row."""
+    return mark_first(df.select(row_id), group_first_ids(df, keys, row_id), row_id, out)
 
 
 def group_extent(df: DataFrame, keys: Sequence[str], measure: str, row_id: str,

@@ -95,28 +95,32 @@ def q_visit_window_patient(spark, sf_dir):
     return _out(df, ["old_visit", "new_visit", "visit_diff_days"])
 
 
-def _ranks(spark, sf_dir, families):
-    keyed = dedup.guid_unify(_rows(spark, sf_dir, "normalise_patient"))
-    return dedup.family_ranks(keyed, ROW_ID, families)
+def _keys(spark, sf_dir):
+    return dedup.dedup_keys(_base(spark, sf_dir), ROW_ID)
 
 
 def _flag_query(family: str, name: str) -> Query:
     def q(spark, sf_dir):
-        r = _ranks(spark, sf_dir, [family])
-        return r.select(F.col(ROW_ID).alias("patientid"),
-                        (F.col(dedup.rank_column(family)) == 1).cast("int").alias(name))
+        flags = dedup.first_flag(_keys(spark, sf_dir), family, ROW_ID, name)
+        return flags.select(F.col(ROW_ID).alias("patientid"), name)
     q.__doc__ = f"{name}: first row of its {family} group"
     return q
 
 
+def q_distinct_guid_names(spark, sf_dir):
+    r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID)
+    return r.select(F.col(ROW_ID).alias("patientid"),
+                    (F.col(dedup.RANK) == 1).cast("int").alias("distinct_GUID"))
+
+
 def q_guid_dups(spark, sf_dir):
-    r = _ranks(spark, sf_dir, ["guid_name"])
+    r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID)
     return r.select(F.col(ROW_ID).alias("patientid"),
-                    (F.col(dedup.rank_column("guid_name")) - 1).cast("int").alias("Pt_GUID_dups"))
+                    (F.col(dedup.RANK) - 1).cast("int").alias("Pt_GUID_dups"))
 
 
 def q_dedup_labels(spark, sf_dir):
-    r = dedup.label_ranks(_ranks(spark, sf_dir, list(dedup.FAMILIES)))
+    r = dedup.label_flags(dedup.family_flags(_keys(spark, sf_dir), ROW_ID))
     return r.select(F.col(ROW_ID).alias("patientid"), "distinct_GUID_label", "distinct_ART_label",
                     "distinct_NUPN_label", "Pt_GUID_dups_label")
 
@@ -181,7 +185,7 @@ QUERIES: dict[str, Query] = {
     "distinct_guid": _flag_query("guid", "distinct_guid"),
     "distinct_art": _flag_query("art", "distinct_ART"),
     "distinct_nupn": _flag_query("nupn", "distinct_NUPN"),
-    "distinct_guid_names": _flag_query("guid_name", "distinct_GUID"),
+    "distinct_guid_names": q_distinct_guid_names,
     "distinct_guid_n": _flag_query("guid", "distinct_GUID_n"),
     "guid_dups": q_guid_dups,
     "dedup_labels": q_dedup_labels,

@@ -6,11 +6,11 @@ Plan shape (per run):
 2. optionally write that input once to the shared checkpoint folder (cuts
    lineage, gives a stable row id, and lets the two branches below re-read
    only the columns they need);
-3. narrow branch: row id + the dedup key columns -> four family ordinals
-   (skew-safe, see ``operators.windows``);
-4. wide branch: the raw text rows joined to the ordinals on the row id (the
-   only shuffle of wide rows), then every per-row rule as a few collapsed
-   projections, then flags and labels.
+3. narrow branch: row id + the dedup key columns -> three first-of-group
+   flags and one duplicate ordinal (skew-safe, see ``operators.dedup``);
+4. wide branch: the raw text rows joined to those on the row id (the only
+   shuffle of wide rows), then every per-row rule as a few collapsed
+   projections, then labels.
 
 Every rule is a built-in Column expression: no Python runs per row.
 """
@@ -58,10 +58,10 @@ def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DA
     opts = dict(date_columns=date_columns, report_period=report_period, as_of=as_of,
                 vocabulary=vocabulary, visit_key=visit_key, row_id=row_id,
                 bucket_rows=bucket_rows)
-    keyed = rules.row_rules(base, **opts, upto="normalise_patient")
-    ranks = dedup.family_ranks(keyed, row_id, bucket_rows=bucket_rows)
-    rows = rules.row_rules(base.join(ranks, row_id, "inner"), **opts)
-    out = dedup.label_ranks(dedup.guid_unify(rows))
+    keys = dedup.dedup_keys(base, row_id, report_period if as_of is None else as_of)
+    flags = dedup.family_flags(keys, row_id, bucket_rows)
+    rows = rules.row_rules(base.join(flags, row_id, "inner"), **opts)
+    out = dedup.label_flags(dedup.guid_unify(rows))
     return out if keep_in_care else out.drop(rules.IN_CARE)
 
 
