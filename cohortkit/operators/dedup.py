@@ -140,4 +140,4 @@ def deduplication(base: DataFrame, row_id: str, as_of=vocab.REPORT_PERIOD,
     """``base`` (raw, normalised names) with every dedup output attached.
     ``row_id`` must be unique and non-NULL."""
     flags = family_flags(dedup_keys(base, row_id, as_of), row_id, bucket_rows)
-    return label_flags(guid_unify(base.join(flags, row_id, "inner")))
+    return label_flags(guid_unify(base.join(flags, row_id, "left")))

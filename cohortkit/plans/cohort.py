@@ -60,7 +60,8 @@ def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DA
                 bucket_rows=bucket_rows)
     keys = dedup.dedup_keys(base, row_id, report_period if as_of is None else as_of)
     flags = dedup.family_flags(keys, row_id, bucket_rows)
-    rows = rules.row_rules(base.join(flags, row_id, "inner"), **opts)
+    # left: a row whose id is NULL (against the contract) keeps its data
+    rows = rules.row_rules(base.join(flags, row_id, "left"), **opts)
     out = dedup.label_flags(dedup.guid_unify(rows))
     return out if keep_in_care else out.drop(rules.IN_CARE)
 
@@ -71,12 +72,16 @@ def run(spark: SparkSession, plus_paths: str | Sequence[str], legacy_paths: str
         **kwargs) -> DataFrame:
     """Read both CSV extracts and derive the cohort frame (not yet written).
 
-    Without ``row_id`` the harmonised input is first written to the shared
-    checkpoint folder with a generated id.
+    ``row_id`` names an id column of the extracts holding unique integers
+    (read as BIGINT, so ids order numerically). Without it the harmonised
+    input is first written to the shared checkpoint folder with a generated id.
     """
     combined = hz.harmonise(read_extract(spark, plus_paths), read_extract(spark, legacy_paths),
                             mapping)
     if row_id is None:
         combined, row_id = with_row_id(spark, combined), ROW_ID
+    else:
+        row_id = rules.resolve(combined, row_id)
+        combined = combined.withColumn(row_id, F.col(row_id).cast("bigint"))
     out = cohort(combined, row_id, report_period=report_period, as_of=as_of, **kwargs)
     return out.drop(ROW_ID) if row_id == ROW_ID else out
