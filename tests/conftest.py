@@ -19,6 +19,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.host", "127.0.0.1")
          .config("spark.driver.bindAddress", "127.0.0.1")
          .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
