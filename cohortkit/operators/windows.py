@@ -102,7 +102,13 @@ def first_in_group(df: DataFrame, keys: Sequence[str], row_id: str, out: str) ->
 
 def group_extent(df: DataFrame, keys: Sequence[str], measure: str, row_id: str,
                  min_out: str, max_out: str, bucket_rows: int | None = None) -> DataFrame:
-    """``min(measure)`` and ``max(measure)`` over each key group, on every row.
+    """``df`` plus ``min(measure)`` and ``max(measure)`` over each key group.
+
+    The group work runs on a narrow projection (row id, group, bucket,
+    measure): partial min/max per (group, bucket), combined per group over
+    the small per-bucket rows, matched back to row ids on (group, bucket).
+    The wide rows then meet the result on the row id, which needs no shuffle
+    when they are already partitioned by it.
 
     When the measure is itself a key, every group holds one value of it and
     both results equal the measure; that case needs no shuffle at all.
@@ -110,9 +116,11 @@ def group_extent(df: DataFrame, keys: Sequence[str], measure: str, row_id: str,
     if measure in keys:
         return df.withColumn(min_out, F.col(measure)).withColumn(max_out, F.col(measure))
     width = bucket_rows_for(df, bucket_rows)
-    x = _keyed(df, keys, row_id, width)
+    x = df.select(F.col(row_id), F.struct(*[F.col(k) for k in keys]).alias(_GK),
+                  _id_bucket(row_id, width).alias(_B), F.col(measure))
     partial = x.groupBy(_GK, _B).agg(F.min(measure).alias(_MIN), F.max(measure).alias(_MAX))
     whole = Window.partitionBy(_GK)
     per_bucket = partial.select(_GK, _B, F.min(_MIN).over(whole).alias(min_out),
                                 F.max(_MAX).over(whole).alias(max_out))
-    return x.join(per_bucket, [_GK, _B], "inner").drop(_GK, _B)
+    extents = x.join(per_bucket, [_GK, _B], "inner").select(row_id, min_out, max_out)
+    return df.join(extents, row_id, "left")

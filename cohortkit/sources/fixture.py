@@ -69,22 +69,32 @@ def load_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return orders, customer
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread ``df`` by ``key`` when its scan has fewer partitions than
+    the cluster has task slots; leave larger inputs as they are.
+
+    The per-row rules cost far more CPU than reading the rows, and a small
+    file (one row group) is a single scan task. The partition count is
+    explicit (the session's shuffle partitions) because adaptive coalescing
+    judges by bytes, and these few bytes carry a lot of CPU work. Counting
+    scan partitions only plans the file splits; it runs no job.
+    """
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def cohort_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture over ``{sf_dir}/orders.parquet`` and ``customer.parquet``,
-    hash-partitioned by ``patientid``.
-
-    The per-row expressions cost far more CPU than reading the rows, and a
-    small orders file is a single scan task. Spreading the two order columns
-    by the order key (before the text columns exist, so the shuffle is
-    narrow) gives the expressions every task slot. ``patientid`` is the order
-    key, so this is also the partitioning the cohort plan's row-id join needs:
-    that join then does not shuffle the wide rows again. The partition count
-    is explicit (the session's shuffle partitions) because adaptive
-    coalescing judges by bytes, and these few bytes carry a lot of CPU work.
+    """The fixture over ``{sf_dir}/orders.parquet`` and ``customer.parquet``.
+
+    A small orders scan is first spread by the order key, while it is two
+    columns wide. ``patientid`` is the order key, so that is also the
+    partitioning the cohort plan's row-id join needs, and the join then
+    does not shuffle the wide rows again.
     """
     orders, customer = load_tables(spark, sf_dir)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    orders = orders.select("o_orderkey", "o_custkey").repartition(parts, "o_orderkey")
+    orders = spread_small_scan(orders.select("o_orderkey", "o_custkey"), "o_orderkey")
     return spark.sql(FIXTURE_TEMPLATE, orders=orders, customer=customer)
 
 
