@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 ColumnLike = "Column | str"
 
 # A plain decimal number: optional sign, digits with an optional fraction, or
-# a bare fraction; surrounding whitespace allowed. No exponent, no suffix.
-PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
-# The leading yyyy-m-d of a text; anything after it is ignored.
-DATE_HEAD = r"^\s*(\d{4}-\d{1,2}-\d{1,2})"
+# a bare fraction (a lone "." included); surrounding whitespace allowed. No
+# exponent, no suffix.
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d*)\s*$"
+# Characters of a plain number that are not digits of its whole part.
+NOT_DIGITS = " \t\n\r\f\u000b+-"
+# The leading year-month-day of a text: three runs of digits joined by "-",
+# each run optionally preceded by blanks or tabs; anything after is ignored.
+DATE_HEAD = r"^[ \t]*(\d+-[ \t]*\d+-[ \t]*\d+)"
+FIRST_DAY = "0001-01-01"
 
 
 def col_(c) -> Column:
@@ -36,9 +41,14 @@ def as_double(c) -> Column:
 
 
 def as_int(c) -> Column:
-    """Text read as INT the way an implicit string-to-int cast reads it."""
+    """Text read as INT the way an implicit string-to-int cast reads it: the
+    fraction is dropped (truncation toward zero), no digits before the point
+    read as 0, and a whole part outside the INT range is NULL."""
     s = col_(c).cast("string")
-    return F.when(s.rlike(PLAIN_NUMBER), s.try_cast("double")).try_cast("int")
+    whole = F.substring_index(s, ".", 1)          # sign and digits, blanks around
+    no_digits = F.length(F.translate(whole, NOT_DIGITS, "")) == 0
+    return F.when(s.rlike(PLAIN_NUMBER),
+                  F.when(no_digits, F.lit(0)).otherwise(whole.try_cast("int")))
 
 
 def as_number_for(c, literal) -> Column:
@@ -64,14 +74,25 @@ class Numeric:
 
 
 def parse_date(c) -> Column:
-    """Lenient yyyy-MM-dd parse: leading blanks, 1-digit month/day and any
-    trailing text are accepted; impossible dates and other layouts are NULL."""
-    return F.regexp_extract(col_(c).cast("string"), DATE_HEAD, 1).try_cast("date")
+    """A ``yyyy-MM-dd`` read the way the legacy (SimpleDateFormat) parser
+    reads it: each field is a run of digits of any length (``2024-003-013``
+    is 13 March), blanks or tabs before a field are skipped, anything after
+    the day is ignored, and a field out of range (year 0, month 13, day 50,
+    30 February) makes the whole value NULL.
+
+    Well-formed text takes Spark's own string-to-date cast; only when that
+    fails are the three digit runs read as numbers and assembled. Neither
+    path depends on the session's time-parser policy or time zone.
+    """
+    head = F.regexp_extract(col_(c).cast("string"), DATE_HEAD, 1)
+    fields = F.split(head, "-")
+    zero = F.lit(0)
+    assembled = F.try_make_timestamp_ntz(
+        *[F.get(fields, i).try_cast("int") for i in range(3)], zero, zero, zero).cast("date")
+    date = F.coalesce(head.try_cast("date"), assembled)
+    # the legacy calendar has no year 0
+    return F.when(date >= F.lit(FIRST_DAY).cast("date"), date)
 
 
 def days_between(end, start) -> Column:
     return F.datediff(col_(end), col_(start))
-
-
-def months_between_days(days: Column, days_per_month: float) -> Column:
-    return days / F.lit(days_per_month)

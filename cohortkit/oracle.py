@@ -49,9 +49,10 @@ DATES = [
 
 
 def _int(x: str) -> str:
-    """Text as INT the way Spark's implicit cast truncates it."""
-    return (f"(CASE WHEN regexp_matches({x}, '^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)\\s*$') "
-            f"THEN TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER) END)")
+    """Text as INT the way Spark's implicit cast truncates it (a lone point is 0)."""
+    return (f"(CASE WHEN regexp_matches({x}, '^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d*)\\s*$') "
+            f"THEN (CASE WHEN TRY_CAST({x} AS DOUBLE) IS NULL THEN 0 "
+            f"ELSE TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS INTEGER) END) END)")
 
 
 def _dbl(x: str) -> str:
@@ -59,7 +60,13 @@ def _dbl(x: str) -> str:
 
 
 def _date(x: str) -> str:
-    return f"TRY_CAST(regexp_extract({x}, '^\\s*(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})', 1) AS DATE)"
+    """Legacy yyyy-MM-dd reading: digit runs of any length, blanks/tabs before
+    a field, trailing text ignored, out-of-range fields give NULL."""
+    pat = "'^[ \\t]*(\\d+)-[ \\t]*(\\d+)-[ \\t]*(\\d+)'"
+    y, m, d = (f"TRY_CAST(regexp_extract({x}, {pat}, {i}) AS INTEGER)" for i in (1, 2, 3))
+    return (f"(CASE WHEN {y} BETWEEN 1 AND 294247 AND {m} BETWEEN 1 AND 12 THEN "
+            f"(CASE WHEN {d} BETWEEN 1 AND day(last_day(make_date({y}, {m}, 1))) "
+            f"THEN make_date({y}, {m}, {d}) END) END)")
 
 
 def _days(a: str, b: str) -> str:
