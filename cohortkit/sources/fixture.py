@@ -80,9 +80,14 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     scan partitions only plans the file splits; it runs no job.
     """
     spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:  # e.g. "auto"
+        parts = slots
+    return df.repartition(parts, key)
 
 
 def cohort_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
