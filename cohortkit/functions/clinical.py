@@ -2,7 +2,7 @@
 
 Inputs may be raw text: every comparison with a literal reads the text in
 the type an implicit comparison with that literal would use
-(see ``coerce.as_number_for``).
+(see ``coerce.Numeric``).
 """
 
 from __future__ import annotations

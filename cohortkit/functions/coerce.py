@@ -51,14 +51,11 @@ def as_int(c) -> Column:
                   F.when(no_digits, F.lit(0)).otherwise(whole.try_cast("int")))
 
 
-def as_number_for(c, literal) -> Column:
-    """Read ``c`` in the type an implicit comparison with ``literal`` uses."""
-    return as_int(c) if isinstance(literal, int) else as_double(c)
-
-
 class Numeric:
     """Both numeric readings of one text column, built once and reused by
-    every comparison of a rule."""
+    every comparison of a rule. ``for_(literal)`` gives the reading an
+    implicit comparison with that literal would use: INT for a whole-number
+    literal, DOUBLE for a decimal one."""
 
     def __init__(self, c):
         self._c, self._int, self._dbl = c, None, None

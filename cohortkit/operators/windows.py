@@ -2,16 +2,20 @@
 
 ``Window.partitionBy(keys)`` sends every row of a key group to one task, so a
 group holding a third of the table becomes a third of the job in one task.
-Both operators here split each group into *id buckets*: consecutive ranges of
-a unique integer row id, ``floor(id / bucket_rows)``. A bucket holds at most
-``bucket_rows`` rows of a group whatever the skew, because ids are unique.
-
-* The heavy work (sort, row numbers, partial min/max) runs per
-  ``(group, bucket)``: one shuffle of the rows, hash-partitioned on both.
-* Only one small row per ``(group, bucket)`` is then shuffled by group to
-  combine buckets (a running count, or the group min/max).
-* The combined values go back to the rows with an equi-join on
-  ``(group, bucket)``; the row side is already partitioned that way.
+The operators here never do that:
+
+* ``group_first_ids`` / ``mark_first`` / ``first_in_group`` (``row_number() = 1``):
+  the first row is the one with the group's smallest id, a map-side-combined
+  ``min`` (a hot group costs one partial row per input partition), matched
+  back by a join on the id itself.
+* ``group_ordinal`` (``row_number()``) and ``group_extent`` (``min``/``max``
+  over the group) split each group into *id buckets*: consecutive ranges of a
+  unique integer row id, ``floor(id / bucket_rows)``. A bucket holds at most
+  ``bucket_rows`` rows of a group whatever the skew, because ids are unique.
+  The heavy work (sort, row numbers, partial min/max) runs per
+  (group, bucket); one small row per (group, bucket) is shuffled by group to
+  combine buckets (running counts, or the group min/max); the result goes
+  back to the rows with an equi-join on (group, bucket).
 
 The bucket is monotone in the id, so ordering a group by (bucket, id) is
 ordering it by id: results do not depend on ``bucket_rows``.
@@ -47,11 +51,6 @@ def _id_bucket(row_id: str, bucket_rows: int) -> Column:
     return F.floor(F.col(row_id) / F.lit(bucket_rows))
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], row_id: str, bucket_rows: int) -> DataFrame:
-    return (df.withColumn(_GK, F.struct(*[F.col(k) for k in keys]))
-              .withColumn(_B, _id_bucket(row_id, bucket_rows)))
-
-
 def group_ordinal(df: DataFrame, keys: Sequence[str], row_id: str, out: str,
                   bucket_rows: int | None = None) -> DataFrame:
     """``row_id`` and ``row_number() OVER (PARTITION BY keys ORDER BY row_id)``
