@@ -80,8 +80,11 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     scan partitions only plans the file splits; it runs no job.
     """
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
     try:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
