@@ -34,6 +34,11 @@ def _ymd(d: Column) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
+# Ages are read off the dates' yyyy-MM-dd text; a year past 9999 has no such
+# text (it prints with a sign and five digits), so its age is NULL.
+LAST_YEAR_AS_TEXT = 9999
+
+
 def completed_years(later, earlier) -> Column:
     """Whole years from ``earlier`` to ``later`` (INT).
 
@@ -41,8 +46,10 @@ def completed_years(later, earlier) -> Column:
     calendar day; the result truncates toward zero, so less than a year
     before ``earlier`` is 0.
     """
-    diff = _ymd(col_(later)) - _ymd(col_(earlier))
-    return (diff / F.lit(10000)).cast("int")
+    a, b = col_(later), col_(earlier)
+    diff = _ymd(a) - _ymd(b)
+    fits = (F.year(a) <= LAST_YEAR_AS_TEXT) & (F.year(b) <= LAST_YEAR_AS_TEXT)
+    return F.when(fits, (diff / F.lit(10000)).cast("int"))
 
 
 def fiscal_quarter(month_name_col) -> Column:

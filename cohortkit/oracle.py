@@ -76,7 +76,8 @@ def _days(a: str, b: str) -> str:
 def _years(later: str, earlier: str) -> str:
     def ymd(d):
         return f"(year({d}) * 10000 + month({d}) * 100 + day({d}))"
-    return f"CAST(trunc(({ymd(later)} - {ymd(earlier)}) / 10000.0) AS INTEGER)"
+    return (f"(CASE WHEN year({later}) <= 9999 AND year({earlier}) <= 9999 THEN "
+            f"CAST(trunc(({ymd(later)} - {ymd(earlier)}) / 10000.0) AS INTEGER) END)")
 
 
 def _age_group(a: str) -> str:

@@ -107,6 +107,18 @@ def test_age_below_minus_50_has_no_group(spark):
     assert edge(spark, DOB="2024-01-01", ARTStartDate="2000-01-01").age_groupt_Art_initiation == "BIF"
 
 
+def test_five_digit_year_has_no_age(spark):
+    row = dict(BASE_ROW, DOB="20240-01-01")
+    cols = list(row)
+    schema = ", ".join(f"{c} {'long' if c == 'PatientID' else 'string'}" for c in cols)
+    df = spark.createDataFrame([tuple(row[c] for c in cols)], schema)
+    out = rules.row_rules(rules.normalise_names(df), row_id="PatientID")
+    r = out.select(F.col("DOB").isNotNull().alias("parsed"), "current_age",
+                   "age_at_art_initiation").first()
+    # a year the legacy parser accepts, but whose date text has no yyyy form
+    assert r.parsed and r.current_age is None and r.age_at_art_initiation is None
+
+
 def test_linkage_of_exactly_90_days(spark):
     r = edge(spark, HivTestDate="2019-10-03", ARTStartDate="2020-01-01")
     assert r.linkage_to_care_category == "31-90"
