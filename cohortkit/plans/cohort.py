@@ -82,6 +82,8 @@ def run(spark: SparkSession, plus_paths: str | Sequence[str], legacy_paths: str
         combined, row_id = with_row_id(spark, combined), ROW_ID
     else:
         row_id = rules.resolve(combined, row_id)
-        combined = combined.withColumn(row_id, F.col(row_id).cast("bigint"))
+        # a non-integer id becomes NULL (ANSI on or off); such a row keeps its
+        # data but gets no duplicate flags
+        combined = combined.withColumn(row_id, F.col(row_id).try_cast("bigint"))
     out = cohort(combined, row_id, report_period=report_period, as_of=as_of, **kwargs)
     return out.drop(ROW_ID) if row_id == ROW_ID else out
