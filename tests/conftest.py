@@ -50,12 +50,19 @@ def norm_rows(rows):
     return sorted(out, key=repr)
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+             "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def assert_same(sdf, con, sql):
-    """Spark result equals the DuckDB result (columns by name, rows as a multiset)."""
+    """Spark result equals the DuckDB result: same column names and types,
+    same rows as a multiset."""
     scols = sdf.columns
     rel = con.sql(sql)
     dcols = rel.columns
     assert sorted(scols) == sorted(dcols)
+    dtypes = dict(zip(dcols, (str(t) for t in rel.types)))
+    assert {c: SQL_TYPES.get(t, t) for c, t in sdf.dtypes} == {c: dtypes[c] for c in scols}
     idx = [dcols.index(c) for c in scols]
     srows = norm_rows([tuple(r) for r in sdf.collect()])
     drows = norm_rows([tuple(r[i] for i in idx) for r in rel.fetchall()])
