@@ -200,7 +200,7 @@ def indicators(df: DataFrame) -> DataFrame:
 
 
 def mms(df: DataFrame) -> DataFrame:
-    """Multi-month scripting class (not part of the default pipeline)."""
+    """Multi-month scripting class (not part of the default frame)."""
     return df.withColumn("MMS", st.mms("MMD_proxy_Mo", cl.dsd_code("DSD_new")))
 
 

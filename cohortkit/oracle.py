@@ -340,7 +340,7 @@ OUTPUTS.update({
                            "WHEN 2 THEN 'Duplicated twice' WHEN 3 THEN 'Duplicated thrice' END"),
 })
 
-# Raw text columns that pass through the pipeline unchanged.
+# Raw text columns that pass through the derivation unchanged.
 PASS_THROUGH = {
     "PatientID": "patientid", "source": "source", "ARTNumber": "artnumber", "NUPN": "nupn",
     "OwningGuid": "owningguid", "patient_guid": "patient_guid", "FirstName": "firstname",
@@ -378,7 +378,7 @@ def select_sql(columns: list[str], id_name: str = "patientid") -> str:
     return chain_sql() + "\nSELECT " + ",\n  ".join(exprs) + "\nFROM k"
 
 
-def pipeline_sql() -> str:
+def cohort_frame_sql() -> str:
     return select_sql(PIPELINE_COLUMNS, id_name="")
 
 
