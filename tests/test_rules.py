@@ -241,3 +241,13 @@ def test_patient_status_truth_table(spark):
         else:
             want = None
         assert r.s == want, r
+
+
+def test_cohort_independent_of_bucket_size(spark):
+    from conftest import SF_SMALL
+    fx = cohort_fixture(spark, SF_SMALL)
+    cols = ["PatientID", "distinct_GUID", "distinct_ART", "distinct_NUPN", "distinct_GUID_n",
+            "Pt_GUID_dups"]
+    tiny = cohort(fx, "patientid", bucket_rows=4).select(*cols).collect()
+    default = cohort(fx, "patientid").select(*cols).collect()
+    assert sorted(tiny) == sorted(default)
