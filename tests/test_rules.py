@@ -251,3 +251,13 @@ def test_cohort_independent_of_bucket_size(spark):
     tiny = cohort(fx, "patientid", bucket_rows=4).select(*cols).collect()
     default = cohort(fx, "patientid").select(*cols).collect()
     assert sorted(tiny) == sorted(default)
+
+
+def test_cohort_independent_of_input_partitioning(spark):
+    from conftest import SF_SMALL
+    fx = cohort_fixture(spark, SF_SMALL)
+    cols = ["PatientID", "patient_status", "outcome_1", "hiv_cascade", "distinct_GUID",
+            "distinct_ART", "distinct_NUPN", "distinct_GUID_n", "Pt_GUID_dups", "BMI"]
+    one = cohort(fx.coalesce(1), "patientid").select(*cols).collect()
+    many = cohort(fx.repartition(7, "dob"), "patientid").select(*cols).collect()
+    assert sorted(one) == sorted(many)
