@@ -89,8 +89,9 @@ def first_flags(keys: DataFrame, row_id: str) -> DataFrame:
     family. Output: ``__first_id`` and the flag columns, first rows only.
     """
     fam, ident, first = "__family", "__ident", "__first_id"
+    # identifiers as text so the three families share one struct type
     per_family = F.explode(F.array(*[
-        F.struct(F.lit(f).alias(fam), F.col(FAMILIES[f][0]).alias(ident))
+        F.struct(F.lit(f).alias(fam), F.col(FAMILIES[f][0]).cast("string").alias(ident))
         for f in FLAG_FAMILIES]))
     exploded = keys.select(F.col(row_id), *CORE, per_family.alias("__e"))
     firsts = (exploded.groupBy(F.col(f"__e.{fam}").alias(fam), F.col(f"__e.{ident}").alias(ident),
