@@ -63,3 +63,12 @@ def test_jdbc_writer_is_configured_not_run(spark):
     w = sinks.jdbc_writer(df, "jdbc:example://host/db", "cohort", user="u", password="p",
                           driver="org.example.Driver", batchsize="1000")
     assert type(w).__name__ == "DataFrameWriter"
+
+
+def test_command_line_runner(spark):
+    from cohortkit.__main__ import main
+    d, _ = _write_shapes(spark)
+    assert main(["--plus", f"{d}/plus", "--legacy", f"{d}/legacy", "--out", f"{d}/cli-out",
+                 "--row-id", "PatientID"]) == 0
+    back = spark.read.parquet(f"{d}/cli-out")
+    assert back.count() == 1500 and "Pt_GUID_dups_label" in back.columns
