@@ -70,27 +70,22 @@ def load_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` by ``key`` when its scan has fewer partitions than
-    the cluster has task slots; leave larger inputs as they are.
+    """Hash-spread ``df`` by ``key`` over two tasks per task slot when its
+    scan has fewer partitions than slots; leave larger inputs as they are.
 
     The per-row rules cost far more CPU than reading the rows, and a small
     file (one row group) is a single scan task. The partition count is
-    explicit (the session's shuffle partitions) because adaptive coalescing
-    judges by bytes, and these few bytes carry a lot of CPU work. Counting
-    scan partitions only plans the file splits; it runs no job.
+    explicit because adaptive coalescing judges by bytes, and these few
+    bytes carry a lot of CPU work. Counting scan partitions only plans the
+    file splits; it runs no job.
     """
-    spark = df.sparkSession
     try:
-        slots = spark.sparkContext.defaultParallelism
+        slots = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= slots:
             return df
     except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    try:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except ValueError:  # e.g. "auto"
-        parts = slots
-    return df.repartition(parts, key)
+    return df.repartition(2 * slots, key)
 
 
 def cohort_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
