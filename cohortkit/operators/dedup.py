@@ -136,9 +136,11 @@ def label_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def deduplication(base: DataFrame, row_id: str, as_of=vocab.REPORT_PERIOD,
-                  bucket_rows: int | None = None) -> DataFrame:
-    """``base`` (raw, normalised names) with every dedup output attached.
-    ``row_id`` must be unique and non-NULL."""
-    flags = family_flags(dedup_keys(base, row_id, as_of), row_id, bucket_rows)
-    return label_flags(guid_unify(base.join(flags, row_id, "left")))
+def deduplication(rows: DataFrame, row_id: str, bucket_rows: int | None = None) -> DataFrame:
+    """Every dedup output on a frame the per-row rules already derived
+    (parsed dates, recoded sex, ``current_age``), the way the reference
+    applies its dedup step last. ``row_id`` must be unique and non-NULL."""
+    rows = guid_unify(rows)
+    keys = rows.select(row_id, *sorted({k for f in FAMILIES.values() for k in f}))
+    flags = family_flags(keys, row_id, bucket_rows)
+    return label_flags(rows.join(flags, row_id, "left"))

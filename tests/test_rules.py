@@ -261,3 +261,15 @@ def test_cohort_independent_of_input_partitioning(spark):
     one = cohort(fx.coalesce(1), "patientid").select(*cols).collect()
     many = cohort(fx.repartition(7, "dob"), "patientid").select(*cols).collect()
     assert sorted(one) == sorted(many)
+
+
+def test_dedup_step_on_derived_rows_equals_cohort(spark):
+    from conftest import SF_SMALL
+    from cohortkit.operators import dedup
+    fx = cohort_fixture(spark, SF_SMALL)
+    rows = rules.row_rules(rules.normalise_names(fx), row_id="PatientID")
+    cols = ["PatientID", "distinct_GUID", "distinct_ART", "distinct_NUPN", "distinct_GUID_n",
+            "Pt_GUID_dups", "Pt_GUID_dups_label"]
+    step = dedup.deduplication(rows, "PatientID").select(*cols).collect()
+    whole = cohort(fx, "patientid").select(*cols).collect()
+    assert sorted(step) == sorted(whole)
