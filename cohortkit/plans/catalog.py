@@ -32,11 +32,19 @@ def _out(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.col(ROW_ID).alias("patientid"), *cols)
 
 
+def _outputs(*cols: str):
+    """Record the columns a query returns besides ``patientid``."""
+    def mark(q):
+        q.outputs = list(cols)
+        return q
+    return mark
+
+
 def _step(upto: str, cols: list[str]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _out(_rows(spark, sf_dir, upto), cols)
     q.__doc__ = f"{', '.join(cols)} after step {upto!r}"
-    return q
+    return _outputs(*cols)(q)
 
 
 def _date_cols() -> list[str]:
@@ -84,10 +92,12 @@ def q_src_csv(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- windows
+@_outputs("old_visit", "new_visit", "visit_diff_days")
 def q_visit_window(spark, sf_dir):
     return _out(_rows(spark, sf_dir, "visit_window"), ["old_visit", "new_visit", "visit_diff_days"])
 
 
+@_outputs("old_visit", "new_visit", "visit_diff_days")
 def q_visit_window_patient(spark, sf_dir):
     """The visit window keyed per patient (without the visit date): real min/max."""
     key = [k for k in rules.VISIT_KEY if k != rules.VISIT_MEASURE]
@@ -104,37 +114,44 @@ def _flag_query(family: str, name: str) -> Query:
         flags = dedup.first_flag(_keys(spark, sf_dir), family, ROW_ID, name)
         return flags.select(F.col(ROW_ID).alias("patientid"), name)
     q.__doc__ = f"{name}: first row of its {family} group"
-    return q
+    return _outputs(name)(q)
 
 
+@_outputs("distinct_GUID")
 def q_distinct_guid_names(spark, sf_dir):
     r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID)
     return r.select(F.col(ROW_ID).alias("patientid"),
                     (F.col(dedup.RANK) == 1).cast("int").alias("distinct_GUID"))
 
 
+@_outputs("Pt_GUID_dups")
 def q_guid_dups(spark, sf_dir):
     r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID)
     return r.select(F.col(ROW_ID).alias("patientid"),
                     (F.col(dedup.RANK) - 1).cast("int").alias("Pt_GUID_dups"))
 
 
+@_outputs("distinct_GUID_label", "distinct_ART_label", "distinct_NUPN_label",
+          "Pt_GUID_dups_label")
 def q_dedup_labels(spark, sf_dir):
     r = dedup.label_flags(dedup.family_flags(_keys(spark, sf_dir), ROW_ID))
     return r.select(F.col(ROW_ID).alias("patientid"), "distinct_GUID_label", "distinct_ART_label",
                     "distinct_NUPN_label", "Pt_GUID_dups_label")
 
 
+@_outputs("_patient_guid", "pt_GUID")
 def q_guid_unify(spark, sf_dir):
     return _out(dedup.guid_unify(_base(spark, sf_dir)), ["_patient_guid", "pt_GUID"])
 
 
 # --------------------------------------------------------------- outcomes
+@_outputs("in_care")
 def q_in_care(spark, sf_dir):
     df = _rows(spark, sf_dir, "status")
     return _out(df, [F.coalesce(F.col(rules.IN_CARE), F.lit(False)).alias("in_care")])
 
 
+@_outputs("MMS")
 def q_mms(spark, sf_dir):
     return _out(rules.mms(_rows(spark, sf_dir, "indicators")), ["MMS"])
 
