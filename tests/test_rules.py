@@ -273,3 +273,16 @@ def test_dedup_step_on_derived_rows_equals_cohort(spark):
     step = dedup.deduplication(rows, "PatientID").select(*cols).collect()
     whole = cohort(fx, "patientid").select(*cols).collect()
     assert sorted(step) == sorted(whole)
+
+
+def test_attrition_with_null_status_has_null_tx_ml(spark):
+    # long out of care, no status: not Active, so status NULL and outcome attrition;
+    # NOT (NULL IN (...)) is NULL, so no TX_ML branch fires
+    r = edge(spark, patient_status=None, LastInteraction_date="2023-01-01",
+             NextAppointmentDate="2023-02-01", CurrentARTRegimenDispensationDate="2023-01-01")
+    assert r.patient_status is None and r.outcome == "attrition" and r.TX_ML is None
+    # the same row with a recorded death on the last visit is Died
+    d = edge(spark, patient_status="died", Patient_status_date="2023-01-01",
+             LastInteraction_date="2023-01-01", NextAppointmentDate="2023-02-01",
+             CurrentARTRegimenDispensationDate="2023-01-01")
+    assert d.patient_status == "Died" and d.TX_ML == "Died"
