@@ -286,3 +286,17 @@ def test_attrition_with_null_status_has_null_tx_ml(spark):
              LastInteraction_date="2023-01-01", NextAppointmentDate="2023-02-01",
              CurrentARTRegimenDispensationDate="2023-01-01")
     assert d.patient_status == "Died" and d.TX_ML == "Died"
+
+
+def test_as_of_moves_ages_not_duplicate_groups(spark):
+    from conftest import SF_SMALL
+    fx = cohort_fixture(spark, SF_SMALL)
+    a = cohort(fx, "patientid").select("PatientID", "current_age", "distinct_ART",
+                                       "Pt_GUID_dups").collect()
+    b = cohort(fx, "patientid", as_of="2030-03-13").select("PatientID", "current_age",
+                                                           "distinct_ART", "Pt_GUID_dups").collect()
+    a, b = {r.PatientID: r for r in a}, {r.PatientID: r for r in b}
+    assert all((b[k].current_age is None and a[k].current_age is None)
+               or b[k].current_age == a[k].current_age + 6 for k in a)
+    assert all((a[k].distinct_ART, a[k].Pt_GUID_dups) == (b[k].distinct_ART, b[k].Pt_GUID_dups)
+               for k in a)
