@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -81,12 +81,7 @@ def to_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
          for f, x in ((f, columns[f.name]) for f in schema)], schema=schema)
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
-def row_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` between consecutive ``offsets``."""
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+def row_count(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often ``mask`` is true between consecutive ``offsets``."""
+    ends = offsets.tolist()
+    return np.fromiter((np.count_nonzero(mask[a:b]) for a, b in zip(ends, ends[1:])), np.int64, len(ends) - 1)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.common import table
 from cohortkit.llm.line_dedup import line_dedup
+from cohortkit.llm.quality_rules import quality_rules
 
 
 def op2_line_dedup(spark, sf_dir):
@@ -33,8 +34,16 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
 FROM marked GROUP BY doc_id
 """
 
+def op9_quality_rules(spark, sf_dir):
+    """Measures and verdict of every document."""
+    out = quality_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "distance")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL = {

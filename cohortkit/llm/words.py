@@ -38,8 +38,8 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _suffix_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sum of ``values[j] * odd**(length - j)`` over each [start, end), in blocks of words."""
+def _word_sums(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of ``values[data[start + j]] * odd**j`` over each [start, end), in blocks of words."""
     out = np.empty(len(starts), np.uint64)
     inverse = pow(_ODD, -1, 1 << 64)
     at = 0
@@ -49,7 +49,7 @@ def _suffix_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
         powers = _powers(hi - lo)
         sums = np.empty(hi - lo + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(values[lo:hi] * powers[:-1], dtype=np.uint64, out=sums[1:])
+        np.cumsum(values[data[lo:hi]] * powers[:-1], dtype=np.uint64, out=sums[1:])
         s, e = starts[at:to] - lo, ends[at:to] - lo
         back = np.empty(hi - lo + 1, np.uint64)
         back[0] = 1
@@ -76,7 +76,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> t
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = mix(_suffix_hash(_byte_values(lower)[data], starts, ends)
+    hashes = mix(_word_sums(data, _byte_values(lower), starts, ends)
                  + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return hashes, np.searchsorted(starts, offsets).astype(np.int64)
 
