@@ -176,7 +176,8 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     of the others, those whose squared distance from their group's centre is
     over ``max_distance`` are rejected. Distances are scaled so that their
     median in a group is the chi-squared median; the limit is far in the tail
-    because the statistics of good text are not normal. Groups with fewer ``min_rows`` such documents are pooled by language, then together;
+    because the statistics of good text are not normal. Groups with fewer
+    than ``min_rows`` such documents are pooled by language, then together;
     with fewer still the base rules alone decide.
 
     A NULL text has no words. NULL languages or sources are groups of their
