@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import table
 from cohortkit.llm.line_dedup import line_dedup
+from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
 
 
@@ -41,9 +43,17 @@ def op9_quality_rules(spark, sf_dir):
                       "base_failed", "kept", "distance")
 
 
+def op10_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 2048 tokens."""
+    out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), columns=["doc_id"])
+    return out.select("doc_id", "start", "length", F.crc32(F.col("ids")).alias("ids_crc32"), "doc_tokens",
+                      "sequence_id", "offset", "sequence_tokens")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
