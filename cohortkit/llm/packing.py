@@ -33,6 +33,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def learn(self, words: set[str], batch: int = 65536) -> None:
         new = [w for w in words if w not in self]

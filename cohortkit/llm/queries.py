@@ -7,10 +7,31 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.common import table
 from cohortkit.llm.line_dedup import line_dedup
+from cohortkit.llm.neighbours import nearest_neighbours
 from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
 
 
+def op1_nearest_neighbours(spark, sf_dir):
+    """The ten nearest other vectors of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors.where("vec_id % 100 = 0"), vectors)
+
+
+OP1_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op2_line_dedup(spark, sf_dir):
     """Lines that ten or more documents share are dropped everywhere."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,11 +72,13 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_line_dedup": op2_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
+    "op1_nearest_neighbours": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
 }
