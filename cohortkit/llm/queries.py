@@ -24,7 +24,7 @@ WITH v AS (
   WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM scored)
