@@ -10,6 +10,7 @@ from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
 from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
+from cohortkit.llm.secrets import secret_scan
 
 
 def op1_nearest_neighbours(spark, sf_dir):
@@ -57,6 +58,22 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
 FROM marked GROUP BY doc_id
 """
 
+def op6_secret_scan(spark, sf_dir):
+    """Secrets in every document."""
+    out = secret_scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "model")
+    return out.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                      F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"),
+                      F.size(of("model")).cast("long").alias("n_model"))
+
+
 def op9_quality_rules(spark, sf_dir):
     """Measures and verdict of every document."""
     out = quality_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -74,6 +91,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_line_dedup": op2_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
