@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from cohortkit.llm.chat_format import DEFAULT as CHAT, format_chats, read_back
 from cohortkit.llm.common import table
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
@@ -58,6 +59,44 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
 FROM marked GROUP BY doc_id
 """
 
+def op4_chat_format(spark, sf_dir):
+    """All conversations and one that says control strings, formatted and read back."""
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(said).alias("text"))
+    out = format_chats(chats.unionByName(extra))
+    trained = F.filter("segments", lambda s: s["loss"])
+    out = out.select("conv_id", "formatted", "valid", read_back(F.col("formatted")).alias("turns"),
+                     F.array_join(F.transform(trained, lambda s: CHAT.unescape(s["text"])), "").alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                      F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
+OP4_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS after,
+    14 + length(replace(replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2'), ': ', '\3'))
+    + length(role) AS size
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars,
+  bool_and((coalesce(before, 'start') || '>' || role) IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user')
+           AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM t GROUP BY conv_id
+"""
+
+
 def op6_secret_scan(spark, sf_dir):
     """Secrets in every document."""
     out = secret_scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -91,6 +130,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_line_dedup": op2_line_dedup,
+    "op4_chat_format": op4_chat_format,
     "op6_secret_scan": op6_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
@@ -99,4 +139,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_nearest_neighbours": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
+    "op4_chat_format": OP4_SQL,
 }
