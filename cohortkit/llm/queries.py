@@ -9,6 +9,7 @@ from cohortkit.llm.chat_format import DEFAULT as CHAT, format_chats, read_back
 from cohortkit.llm.common import table
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
+from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
 from cohortkit.llm.secrets import secret_scan
@@ -113,6 +114,11 @@ def op6_secret_scan(spark, sf_dir):
                       F.size(of("model")).cast("long").alias("n_model"))
 
 
+def op7_ngram_join(spark, sf_dir):
+    """Near-duplicate components: five-word shingles, Jaccard similarity 0.8 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     """Measures and verdict of every document."""
     out = quality_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -132,6 +138,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_chat_format": op4_chat_format,
     "op6_secret_scan": op6_secret_scan,
+    "op7_ngram_join": op7_ngram_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
