@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.chat_format import DEFAULT as CHAT, format_chats, read_back
 from cohortkit.llm.common import table
+from cohortkit.llm.html_text import main_text
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
 from cohortkit.llm.ngram_join import near_duplicates
@@ -60,6 +61,12 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
 FROM marked GROUP BY doc_id
 """
 
+def op3_html_text(spark, sf_dir):
+    """The main text of every page."""
+    out = main_text(table(spark, sf_dir, "pages"), columns=["page_id", "url"])
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_chat_format(spark, sf_dir):
     """All conversations and one that says control strings, formatted and read back."""
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -136,6 +143,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_text": op3_html_text,
     "op4_chat_format": op4_chat_format,
     "op6_secret_scan": op6_secret_scan,
     "op7_ngram_join": op7_ngram_join,
