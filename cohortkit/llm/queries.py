@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortkit.llm.chat_format import DEFAULT as CHAT, format_chats, read_back
 from cohortkit.llm.common import table
 from cohortkit.llm.html_text import main_text
+from cohortkit.llm.importance import importance_sample
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
 from cohortkit.llm.ngram_join import near_duplicates
@@ -126,6 +127,11 @@ def op7_ngram_join(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark, sf_dir):
+    """Documents sampled by importance for the text labelled good."""
+    return importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
+
+
 def op9_quality_rules(spark, sf_dir):
     """Measures and verdict of every document."""
     out = quality_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -147,6 +153,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op6_secret_scan": op6_secret_scan,
     "op7_ngram_join": op7_ngram_join,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
 }
