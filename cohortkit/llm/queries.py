@@ -15,6 +15,7 @@ from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
 from cohortkit.llm.secrets import secret_scan
+from cohortkit.llm.sentencepieces import decode, encode
 
 
 def op1_nearest_neighbours(spark, sf_dir):
@@ -106,6 +107,16 @@ FROM t GROUP BY conv_id
 """
 
 
+def op5_sentencepiece(spark, sf_dir):
+    """Every document as piece ids, and whether they decode to its text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    coded = encode(table(spark, sf_dir, "documents").select("doc_id", text), model, columns=["doc_id", "text"])
+    back = decode(coded, model, columns=["doc_id", "text", "ids"], text_col="decoded")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                       (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op6_secret_scan(spark, sf_dir):
     """Secrets in every document."""
     out = secret_scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
@@ -151,6 +162,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_html_text": op3_html_text,
     "op4_chat_format": op4_chat_format,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scan": op6_secret_scan,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality_classifier": op8_quality_classifier,
