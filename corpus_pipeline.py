@@ -1,9 +1,86 @@
-"""The corpus pipeline: stages over the documents table, one operator each."""
+"""The corpus pipeline: raw documents to packed training sequences.
 
-STAGES = []
+Each stage is one operator of ``cohortkit.llm`` at work on all that the
+stage before it kept: ``(spark, docs, sf_dir) -> DataFrame`` with the
+columns of ``documents``, but for the last, which returns packed pieces.
+``run`` writes every stage's result to the shared checkpoint folder and
+reads it back, so a lost executor never sets the pipeline back to its start.
+
+NULL texts count as empty; repeated rows, empty tables and further columns
+pass through the stages as their operators define.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortkit.llm.common import quoted, saved, table
+from cohortkit.llm.line_dedup import line_dedup
+from cohortkit.llm.ngram_join import near_duplicates
+from cohortkit.llm.packing import pack
+from cohortkit.llm.quality_rules import quality_rules
+from cohortkit.llm.secrets import redact
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _as_documents(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, the length column recounted if there is one."""
+    if "n_chars" in out.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select([quoted(c) for c in docs.columns])
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie far outside their group go."""
+    return quality_rules(docs).where("kept").select([quoted(c) for c in docs.columns])
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A line that ten or more documents share stays in the first of them; documents that
+    consisted of such lines only go."""
+    out = line_dedup(docs, min_docs=10, keep="first")
+    return _as_documents(out.where((F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0)), docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays; rows that
+    repeat an id are reduced to one, rows without an id all stay."""
+    groups = saved(near_duplicates(docs), "near-duplicates").withColumnRenamed("doc_id", "node")
+    gone = groups.where(F.col("component_id") != F.col("node")).select("node").distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("node"), "left_anti")
+    if groups.where("node IS NOT NULL").groupBy("node").count().where("count > 1").head(1):
+        left = left.where("doc_id IS NULL").unionByName(left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    return left
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark."""
+    return _as_documents(redact(docs), docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences; the ids in base64, little-endian unsigned 32-bit."""
+    return pack(docs, TOKENIZER, columns=["doc_id"]).withColumn("ids", F.base64("ids"))
+
+
+STAGES = [
+    ("quality_rules", drop_low_quality),
+    ("line_dedup", drop_shared_lines),
+    ("ngram_join", drop_near_duplicates),
+    ("secret_scan", redact_secrets),
+    ("packing", pack_sequences),
+]
+
+#: The trained and estimated stages can't be written in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents that the stages keep."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
