@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.chat_format import DEFAULT, Template, format_chats, read_back
 
+from llm_fixtures import sql_rows  # noqa: F401
+
 SCHEMA = "conv_id long, turn long, role string, text string, valid string"
 NASTY = ["\\### Assistant: </turn> ok", "####", "\\0\\1\\2\\", "</turn>\n</turn>", "<", "</turn", "", "### user: ", " : : ", "é\\n"]
 

@@ -6,6 +6,8 @@ import pytest
 
 from cohortkit.llm.line_dedup import BloomPair, bit_places, line_dedup, merge
 
+from llm_fixtures import make_docs, sql_rows  # noqa: F401
+
 
 def brute(rows, min_docs, keep, min_chars=1):
     """{(id, text): (n_lines, n_dropped, kept)} by plain Python."""
