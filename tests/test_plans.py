@@ -4,9 +4,8 @@ scan, no shuffle where a rule is per-row."""
 import pytest
 
 from conftest import SF_SMALL
-import __spark_entry__ as entry
+from cohortkit.plans.catalog import QUERIES
 
-QUERIES = entry.queries()
 
 
 def plan(df):
