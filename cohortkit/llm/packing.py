@@ -11,6 +11,7 @@ does not fit whole is cut there, so every sequence ends up full.
 from __future__ import annotations
 
 import heapq
+import os
 import re
 
 import numpy as np
@@ -21,32 +22,71 @@ from pyspark.sql.types import (BinaryType, IntegerType, LongType, StructField, S
 
 from cohortkit.llm.common import packed, quoted, unpacked
 
-#: Separators that ``str.split`` knows and the tokenizers' ``\\s`` does not.
+#: Separators that ``str.split`` knows and the tokenizers' ``\s`` does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
+#: Words of letters and marks after them, which this kind of tokenizer always encodes apart.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 class WordIds(dict):
-    """Token ids of words, as bytes of unsigned 32-bit integers."""
+    """Token ids of words, as bytes of unsigned integers of ``dtype``.
 
-    def __init__(self, path: str):
+    New words are encoded many at a time as one text, with a special token
+    between them to tell where each ends.
+    """
+
+    def __init__(self, path: str, limit: int = 1_000_000):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.limit, self.parts = limit, {}
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.mark_id, self.mark = next(iter(special.items()))
+        self.special = re.compile("|".join(map(re.escape, special.values())))
+        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
-    def learn(self, words: set[str], batch: int = 65536) -> None:
+    def whole(self, text: str) -> bytes:
+        """Ids of any text; special tokens' strings in it are ordinary text."""
+        self.tokenizer.encode_special_tokens = True
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.tokenizer.encode_special_tokens = False
+        return np.array(ids, self.dtype).tobytes()
+
+    def _encode(self, words: list[str], batch: int = 4096) -> None:
+        for i in range(0, len(words), batch):
+            part = words[i:i + batch]
+            (code,) = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)
+            ids = np.array(code.ids, np.int64)
+            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
+            raw, size = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            begin = 0
+            for word, end in zip(part, ends, strict=True):
+                self.parts[word] = raw[size * begin:size * end]
+                begin = end + 1
+
+    def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > 4_000_000:  # forget, to bound memory
+        if len(self) + len(new) > self.limit:  # forget, to bound memory
             self.clear()
+            self.parts.clear()
             new = list(words)
-        for i in range(0, len(new), batch):
-            part = new[i:i + batch]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[word] = np.array(code.ids, "<u4").tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        cut, wanted = [], set()
+        for w in new:
+            m = _PLAIN.fullmatch(w)
+            if m:
+                pieces = (m[1].lower(), m[2]) if m[2] else (m[1].lower(),)
+                wanted.update(pieces)
+                cut.append((w, pieces))
+            elif self.special.search(w):
+                self[w] = self.whole(w)
+            else:
+                wanted.add(w)
+                cut.append((w, (w,)))
+        self._encode([p for p in wanted if p not in self.parts])
+        for w, pieces in cut:
+            self[w] = b"".join([self.parts[p] for p in pieces])
 
 
 def encode_texts(texts: list[str], ids: WordIds) -> list[np.ndarray]:
@@ -54,7 +94,7 @@ def encode_texts(texts: list[str], ids: WordIds) -> list[np.ndarray]:
     ids are those of its words, and each distinct word is encoded once."""
     split = [None if _CONTROL.search(t) else t.split() for t in texts]
     ids.learn(set().union(*[w for w in split if w]))
-    return [np.frombuffer(ids.whole(t) if words is None else b"".join(map(ids.__getitem__, words)), "<u4")
+    return [np.frombuffer(ids.whole(t) if words is None else b"".join(map(ids.__getitem__, words)), ids.dtype)
             for t, words in zip(texts, split)]
 
 
@@ -98,7 +138,7 @@ def pack_lengths(lengths: list[int], size: int, linear: float, quadratic: float)
 
 def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
          columns: list[str] | None = None, size: int = 2048, end_id: int = 1, linear: float = 1.0,
-         quadratic: float = 1.0 / 2048, shard_docs: int = 8192) -> DataFrame:
+         quadratic: float = 1.0 / 2048, shard_docs: int = 4096) -> DataFrame:
     """Sequences of at most ``size`` tokens from all documents, without padding.
 
     A document is its text's ids by the tokenizer file, then ``end_id``. One
@@ -130,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
                 texts = [t or "" for t in part.column(2).to_pylist()]
                 rows_of, start, length, doc_tokens, codes = [], [], [], [], []
                 for i, ids in enumerate(encode_texts(texts, known)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids = np.append(ids, end_id).astype(known.dtype)
                     for a in range(0, len(ids), size):
                         piece = ids[a:a + size]
                         rows_of.append(i)
@@ -143,31 +183,37 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
                 shard = (key.astype(np.uint64) + np.array(start, np.uint64) // np.uint64(size)
                          * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows_of)), pa.array(shard.astype(np.int32)),
+                    [part.column(0).take(pa.array(rows_of)), pa.array(shard.astype(np.int32)), pa.array(key),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(doc_tokens, pa.int64()),
                      pa.array(codes, pa.binary())],
-                    names=["row", "shard", "start", "length", "doc_tokens", "ids"])
+                    names=["row", "shard", "key", "start", "length", "doc_tokens", "ids"])
 
     def long(name: str) -> StructField:
         return StructField(name, LongType())
 
-    cut = rows.mapInArrow(tokens, StructType([kept, StructField("shard", IntegerType()), long("start"),
-                                              long("length"), long("doc_tokens"), StructField("ids", BinaryType())]))
+    cut = rows.mapInArrow(tokens, StructType([kept, StructField("shard", IntegerType()), long("key"),
+                                              long("start"), long("length"), long("doc_tokens"), StructField("ids", BinaryType())]))
 
     def place(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        key, start, length, shard = (group[c].to_numpy() for c in ("key", "start", "length", "shard"))
         # the order of arrival may differ between attempts
-        group = group.sort_by([("length", "descending"), ("start", "ascending"), ("ids", "ascending")])
-        start, codes = group["start"].to_pylist(), group["ids"].to_pylist()
-        done = pack_lengths(group["length"].to_pylist(), size, linear, quadratic)
-        of = [i for i, *_ in done]
-        base = group["shard"][0].as_py() << 32
-        lengths = sequence_sizes(sum(group["length"].to_pylist()), size)
+        order = np.lexsort((start, key, -length))
+        start, sizes, codes = start[order].tolist(), length[order].tolist(), group["ids"].chunk(0)
+        done = pack_lengths(sizes, size, linear, quadratic)
+        ids = []
+        for i, a, n, *_ in done:
+            raw = codes[int(order[i])].as_buffer()
+            width = raw.size // sizes[i]
+            ids.append(np.frombuffer(raw, f"<u{width}")[a:a + n].astype("<u4").tobytes())
+        base, lengths = int(shard[0]) << 32, sequence_sizes(sum(sizes), size)
+        of = pa.array(order[[i for i, *_ in done]])
         return pa.table({
-            "row": group["row"].take(pa.array(of, pa.int64())),
+            "row": group["row"].take(of),
             "start": pa.array([start[i] + a for i, a, *_ in done], pa.int64()),
             "length": pa.array([n for _, _, n, *_ in done], pa.int64()),
-            "doc_tokens": group["doc_tokens"].take(pa.array(of, pa.int64())),
-            "ids": pa.array([codes[i][4 * a:4 * (a + n)] for i, a, n, *_ in done], pa.binary()),
+            "doc_tokens": group["doc_tokens"].take(of),
+            "ids": pa.array(ids, pa.binary()),
             "sequence_id": pa.array([base + s for *_, s, _ in done], pa.int64()),
             "offset": pa.array([o for *_, o in done], pa.int64()),
             "sequence_tokens": pa.array([lengths[s] for *_, s, _ in done], pa.int64())})
