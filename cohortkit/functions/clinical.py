@@ -71,14 +71,10 @@ def on_art(art_number, art_start, regimen) -> Column:
 def age_group(age) -> Column:
     a = col_(age)
     lo, hi, infant = vocab.AGE_INFANT
-    bands = [vocab.AGE_FIRST_BAND] + [
-        (b, b + vocab.AGE_BAND_WIDTH - 1, f"{b}-{b + vocab.AGE_BAND_WIDTH - 1}")
-        for b in range(vocab.AGE_BANDS_FROM, vocab.AGE_TOP[0], vocab.AGE_BAND_WIDTH)
-    ]
     top, top_label = vocab.AGE_TOP
     bif_lo, bif_hi, bif = vocab.AGE_BEFORE_BIRTH
     cases = [((a > lo) & (a <= hi), infant)]
-    cases += [((a >= b_lo) & (a <= b_hi), label) for b_lo, b_hi, label in bands]
+    cases += [((a >= b_lo) & (a <= b_hi), label) for b_lo, b_hi, label in vocab.AGE_BANDS]
     cases += [(a >= top, top_label), ((a >= bif_lo) & (a <= bif_hi), bif)]
     return _chain(cases)
 
@@ -121,11 +117,7 @@ def months_since(report, start) -> Column:
 
 def art_cohort(months) -> Column:
     m = col_(months)
-    bands = list(vocab.ART_COHORT_SHORT) + [
-        (lo, lo + 11, f"({lo}-{lo + 11})")
-        for lo in range(vocab.ART_COHORT_YEARLY_FROM, vocab.ART_COHORT_YEARLY_TO, 12)
-    ]
-    return _chain([((m >= lo) & (m <= hi), label) for lo, hi, label in bands],
+    return _chain([((m >= lo) & (m <= hi), label) for lo, hi, label in vocab.ART_COHORT_BANDS],
                   vocab.ART_COHORT_REST)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +12,18 @@ from cohortkit import vocab
 from cohortkit.functions.coerce import col_
 
 
+def date_literal(value: dt.date | dt.datetime | str) -> Column:
+    """A DATE literal from a date or its yyyy-MM-dd text; anything else is a
+    ``ValueError`` here, whatever ``spark.sql.ansi.enabled`` says."""
+    if isinstance(value, dt.datetime):
+        value = value.date()
+    if not isinstance(value, dt.date):
+        if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", str(value)):
+            raise ValueError(f"not a yyyy-MM-dd date: {value!r}")
+        value = dt.date.fromisoformat(str(value))
+    return F.lit(value)
+
+
 def weekday_name(d) -> Column:
     return F.date_format(col_(d), "EEEE")
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cohortkit import vocab
 from cohortkit.functions import clinical as cl
 from cohortkit.functions.coerce import parse_date
-from cohortkit.functions.dates import completed_years
+from cohortkit.functions.dates import completed_years, date_literal
 from cohortkit.operators import windows
 
 CORE = ["DOB", "sex", "current_age", "ARTStartDate"]
@@ -48,10 +48,6 @@ FLAG_FAMILIES = {"guid": "distinct_GUID_n", "art": "distinct_ART", "nupn": "dist
 RANK = "__rn_guid_name"
 
 
-def _as_date(value):
-    return F.lit(str(value)).cast("date")
-
-
 def dedup_keys(base: DataFrame, row_id: str, as_of=vocab.REPORT_PERIOD) -> DataFrame:
     """Row id and every family key column, derived from the raw text columns
     with the same builders the row rules use."""
@@ -60,7 +56,7 @@ def dedup_keys(base: DataFrame, row_id: str, as_of=vocab.REPORT_PERIOD) -> DataF
         F.col(row_id), F.col("OwningGuid"), F.col("OwningGuid").alias("pt_GUID"),
         F.col("ARTNumber"), F.col("NUPN"), F.col("FirstName"), F.col("LastName"),
         dob.alias("DOB"), cl.sex_recode("sex").alias("sex"),
-        completed_years(_as_date(as_of), dob).alias("current_age"),
+        completed_years(date_literal(as_of), dob).alias("current_age"),
         parse_date("ARTStartDate").alias("ARTStartDate"))
 
 

@@ -12,7 +12,6 @@ any case variant of an input name onto them first, so no rule depends on
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -22,7 +21,7 @@ from cohortkit import vocab
 from cohortkit.functions import clinical as cl
 from cohortkit.functions import status as st
 from cohortkit.functions.coerce import days_between, parse_date
-from cohortkit.functions.dates import completed_years, date_parts, fiscal_quarter
+from cohortkit.functions.dates import completed_years, date_literal, date_parts, fiscal_quarter
 from cohortkit.operators import windows
 
 # Final spelling of every input column a rule may read or replace: the
@@ -31,6 +30,7 @@ from cohortkit.operators import windows
 NAMES: dict[str, str] = {k.lower(): k for k in vocab.COLUMN_MAPPING}
 NAMES.update({c.lower(): c for c in vocab.DATE_COLUMNS})
 NAMES.update({c: c for c in ("sex", "patient_status", "patientheight", "source")})
+NAMES["bmi"] = "BMI"  # the rule's own output replaces the extract's
 
 REQUIRED_INPUTS = [
     "patientheight", "patientweight", "HIVTestResults", "sex", "ANCVisitDate", "ARTNumber",
@@ -51,12 +51,6 @@ def _q(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
-def _date(value) -> F.Column:
-    if isinstance(value, (_dt.date, _dt.datetime)):
-        value = value.strftime("%Y-%m-%d")
-    return F.lit(str(value)).cast("date")
-
-
 def normalise_names(df: DataFrame) -> DataFrame:
     """Respell input columns to ``NAMES`` (case-insensitive match), one projection."""
     targets = [NAMES.get(c.lower(), c) for c in df.columns]
@@ -84,7 +78,7 @@ def check_inputs(df: DataFrame, date_columns: Sequence[str]) -> None:
 # ------------------------------------------------------------------ dates
 def convert_dates(df: DataFrame, date_columns: Sequence[str] = vocab.DATE_COLUMNS,
                   report_period=vocab.REPORT_PERIOD) -> DataFrame:
-    cols = {"report_period": _date(report_period)}
+    cols = {"report_period": date_literal(report_period)}
     cols.update({c: parse_date(c) for c in date_columns if c != "report_period"})
     return df.withColumns(cols)
 
@@ -109,7 +103,7 @@ def normalise_patient(df: DataFrame, as_of=vocab.REPORT_PERIOD) -> DataFrame:
         "OnART": cl.on_art("ARTNumber", "ARTStartDate", "CurrentARTRegimen"),
         "age_at_art_initiation": completed_years("ARTStartDate", "DOB"),
         "age_at_first_visit": completed_years("FirstInteraction_date", "DOB"),
-        "current_age": completed_years(_date(as_of), "DOB"),
+        "current_age": completed_years(date_literal(as_of), "DOB"),
     })
 
 
@@ -136,8 +130,7 @@ def cohort_and_eligibility(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- visits
-def visit_window(df: DataFrame, key: Sequence[str] | None = None, row_id: str | None = None,
-                 bucket_rows: int | None = None) -> DataFrame:
+def visit_window(df: DataFrame, key: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
     """First and last visit of each visit group and the days since the last one.
 
     The reference key contains the visit date itself, so both ends equal the
@@ -147,8 +140,7 @@ def visit_window(df: DataFrame, key: Sequence[str] | None = None, row_id: str |
     key = list(VISIT_KEY if key is None else key)
     if VISIT_MEASURE not in key and row_id is None:
         raise ValueError("a visit key without the visit date needs a unique row_id")
-    out = windows.group_extent(df, key, VISIT_MEASURE, row_id or "", "old_visit", "new_visit",
-                               bucket_rows)
+    out = windows.group_extent(df, key, VISIT_MEASURE, row_id or "", "old_visit", "new_visit")
     return out.withColumn("visit_diff_days", days_between("new_visit", VISIT_MEASURE))
 
 
@@ -207,7 +199,7 @@ def mms(df: DataFrame) -> DataFrame:
 def row_rules(df: DataFrame, *, date_columns: Sequence[str] = vocab.DATE_COLUMNS,
               report_period=vocab.REPORT_PERIOD, as_of=None, vocabulary: str = "reference",
               visit_key: Sequence[str] | None = None, row_id: str | None = None,
-              bucket_rows: int | None = None, upto: str | None = None) -> DataFrame:
+              upto: str | None = None) -> DataFrame:
     """Every per-row rule, in dependency order. ``upto`` stops after a step."""
     as_of = report_period if as_of is None else as_of
     steps = [
@@ -216,7 +208,7 @@ def row_rules(df: DataFrame, *, date_columns: Sequence[str] = vocab.DATE_COLUMNS
         ("normalise_patient", lambda d: normalise_patient(d, as_of)),
         ("buckets", buckets),
         ("cohort_and_eligibility", cohort_and_eligibility),
-        ("visit_window", lambda d: visit_window(d, visit_key, row_id, bucket_rows)),
+        ("visit_window", lambda d: visit_window(d, visit_key, row_id)),
         ("tx_curr_days", tx_curr_days),
         ("status", lambda d: status(d, vocabulary)),
         ("outcome", outcome),

@@ -81,19 +81,40 @@ def _years(later: str, earlier: str) -> str:
 
 
 def _age_group(a: str) -> str:
-    arms = [f"WHEN {a} > 0 AND {a} <= 0.999 THEN '0<1'", f"WHEN {a} >= 1 AND {a} <= 4 THEN '1-4'"]
-    for lo in range(5, 65, 5):
-        arms.append(f"WHEN {a} >= {lo} AND {a} <= {lo + 4} THEN '{lo}-{lo + 4}'")
-    arms += [f"WHEN {a} >= 65 THEN '65+'", f"WHEN {a} >= -50 AND {a} <= -1 THEN 'BIF'"]
-    return "CASE " + " ".join(arms) + " END"
+    return (f"CASE WHEN {a} > 0 AND {a} <= 0.999 THEN '0<1' "
+            f"WHEN {a} >= 1 AND {a} <= 4 THEN '1-4' "
+            f"WHEN {a} >= 5 AND {a} <= 9 THEN '5-9' "
+            f"WHEN {a} >= 10 AND {a} <= 14 THEN '10-14' "
+            f"WHEN {a} >= 15 AND {a} <= 19 THEN '15-19' "
+            f"WHEN {a} >= 20 AND {a} <= 24 THEN '20-24' "
+            f"WHEN {a} >= 25 AND {a} <= 29 THEN '25-29' "
+            f"WHEN {a} >= 30 AND {a} <= 34 THEN '30-34' "
+            f"WHEN {a} >= 35 AND {a} <= 39 THEN '35-39' "
+            f"WHEN {a} >= 40 AND {a} <= 44 THEN '40-44' "
+            f"WHEN {a} >= 45 AND {a} <= 49 THEN '45-49' "
+            f"WHEN {a} >= 50 AND {a} <= 54 THEN '50-54' "
+            f"WHEN {a} >= 55 AND {a} <= 59 THEN '55-59' "
+            f"WHEN {a} >= 60 AND {a} <= 64 THEN '60-64' "
+            f"WHEN {a} >= 65 THEN '65+' WHEN {a} >= -50 AND {a} <= -1 THEN 'BIF' END")
 
 
 def _art_cohort(m: str) -> str:
-    arms = [f"WHEN {m} BETWEEN 0 AND 3 THEN '(0<3)'", f"WHEN {m} BETWEEN 4 AND 6 THEN '(4-6)'",
-            f"WHEN {m} BETWEEN 7 AND 12 THEN '(7-12)'"]
-    for lo in range(13, 144, 12):
-        arms.append(f"WHEN {m} BETWEEN {lo} AND {lo + 11} THEN '({lo}-{lo + 11})'")
-    return "CASE " + " ".join(arms) + " ELSE '(145+)' END"
+    return (f"CASE "
+            f"WHEN {m} BETWEEN 0 AND 3 THEN '(0<3)' "
+            f"WHEN {m} BETWEEN 4 AND 6 THEN '(4-6)' "
+            f"WHEN {m} BETWEEN 7 AND 12 THEN '(7-12)' "
+            f"WHEN {m} BETWEEN 13 AND 24 THEN '(13-24)' "
+            f"WHEN {m} BETWEEN 25 AND 36 THEN '(25-36)' "
+            f"WHEN {m} BETWEEN 37 AND 48 THEN '(37-48)' "
+            f"WHEN {m} BETWEEN 49 AND 60 THEN '(49-60)' "
+            f"WHEN {m} BETWEEN 61 AND 72 THEN '(61-72)' "
+            f"WHEN {m} BETWEEN 73 AND 84 THEN '(73-84)' "
+            f"WHEN {m} BETWEEN 85 AND 96 THEN '(85-96)' "
+            f"WHEN {m} BETWEEN 97 AND 108 THEN '(97-108)' "
+            f"WHEN {m} BETWEEN 109 AND 120 THEN '(109-120)' "
+            f"WHEN {m} BETWEEN 121 AND 132 THEN '(121-132)' "
+            f"WHEN {m} BETWEEN 133 AND 144 THEN '(133-144)' "
+            f"ELSE '(145+)' END")
 
 
 def _quarter(m: str) -> str:
@@ -183,7 +204,7 @@ d AS (
     {_days('report_period', 'currentartregimendispensationdate')} AS dd
   FROM c),
 s AS (
-  SELECT d.*, COALESCE({IN_CARE}, FALSE) AS in_care_t, {IN_CARE} AS in_care_v,
+  SELECT d.*, {IN_CARE} AS in_care_v,
     CASE WHEN (patient_status IS NULL
                OR (patient_status IN ('died','stoppedART','reactivated','made_inactive','transout')
                    AND (patient_status_date < lastinteraction_date OR patient_status_date IS NULL)))
@@ -307,7 +328,7 @@ OUTPUTS.update({
     "Days_missed": "dm",
     "Days_Away": "da",
     "Days_Away_Dispense": "dd",
-    "in_care": "in_care_t",
+    "in_care": "in_care_v",
     "patient_status": "status_r",
     "outcome": "outcome",
     "outcome_1": "outcome_1",

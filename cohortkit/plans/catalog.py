@@ -72,7 +72,8 @@ def q_common_columns(spark, sf_dir):
     fx = cohort_fixture(spark, sf_dir)
     left = hz.rename_columns(hz.tag_source(plus_shape(fx), vocab.SOURCE_PLUS))
     right = hz.tag_source(legacy_shape(fx), vocab.SOURCE_LEGACY)
-    return left.select(hz.common_columns(left, right))
+    common = hz.common_columns(left, right)
+    return left.select(common).unionByName(right.select(common))
 
 
 def q_union_sources(spark, sf_dir):
@@ -119,9 +120,8 @@ def _flag_query(family: str, name: str) -> Query:
 
 @_outputs("distinct_GUID")
 def q_distinct_guid_names(spark, sf_dir):
-    r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID)
-    return r.select(F.col(ROW_ID).alias("patientid"),
-                    (F.col(dedup.RANK) == 1).cast("int").alias("distinct_GUID"))
+    flags = dedup.first_flag(_keys(spark, sf_dir), "guid_name", ROW_ID, "distinct_GUID")
+    return flags.select(F.col(ROW_ID).alias("patientid"), "distinct_GUID")
 
 
 @_outputs("Pt_GUID_dups")
@@ -148,7 +148,7 @@ def q_guid_unify(spark, sf_dir):
 @_outputs("in_care")
 def q_in_care(spark, sf_dir):
     df = _rows(spark, sf_dir, "status")
-    return _out(df, [F.coalesce(F.col(rules.IN_CARE), F.lit(False)).alias("in_care")])
+    return _out(df, [F.col(rules.IN_CARE).alias("in_care")])
 
 
 @_outputs("MMS")

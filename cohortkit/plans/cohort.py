@@ -2,13 +2,12 @@
 
 Plan shape (per run):
 
-1. read both extracts as text, harmonise, UNION ALL;
-2. optionally write that input once to the shared checkpoint folder (cuts
-   lineage, gives a stable row id, and lets the two branches below re-read
-   only the columns they need);
-3. narrow branch: row id + the dedup key columns -> three first-of-group
+1. read both extracts as text, harmonise, UNION ALL, and write that input
+   once, with a generated row id, to the shared checkpoint folder: the text
+   is parsed once, and both branches below read only the columns they need;
+2. narrow branch: row id + the dedup key columns -> three first-of-group
    flags and one duplicate ordinal (skew-safe, see ``operators.dedup``);
-4. wide branch: the raw text rows joined to those on the row id (the only
+3. wide branch: the input rows joined to those on the row id (the only
    shuffle of wide rows), then every per-row rule as a few collapsed
    projections, then labels.
 
@@ -17,6 +16,7 @@ Every rule is a built-in Column expression: no Python runs per row.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,18 +30,30 @@ from cohortkit.sources.csv import read_extract
 ROW_ID = "__row_id"
 
 
-def with_row_id(spark: SparkSession, df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Materialise ``df`` with a unique id in the shared checkpoint folder.
+def with_row_id(spark: SparkSession, df: DataFrame, name: str = ROW_ID, path: str | None = None) -> DataFrame:
+    """Materialise ``df`` with a unique id at ``path`` (default: a new one in the
+    shared checkpoint folder, removed by ``session.drop_scratch``).
 
     The id comes from the partition and position of each row and is written
     out once, so every later read sees the same ids (recomputing it from an
     unmaterialised plan could renumber rows after a lost executor).
     """
-    path = scratch_path(spark, "cohort-input")
+    path = path or scratch_path(spark, "cohort-input")
     df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def _unique(flags: DataFrame, row_id: str) -> DataFrame:
+    """One row per id. A repeated id would multiply rows in the join that follows,
+    so it ends the job; the aggregate uses the shuffle that the join needs."""
+    names = [c for c in flags.columns if c != row_id]
+    one = flags.groupBy(row_id).agg(*[F.min(c).alias(c) for c in names], F.count(F.lit(1)).alias("__n"))
+    # the id column itself stays as it is: the join goes on in the aggregate's partitioning
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(
+        F.lit(f"row id {row_id} is not unique: "), F.col(row_id).cast("string")))).otherwise(F.col(dedup.RANK))
+    return one.withColumn(dedup.RANK, checked).select(row_id, *names)
+
+
 def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DATE_COLUMNS,
            report_period=vocab.REPORT_PERIOD, as_of=None, vocabulary: str = "reference",
            visit_key: Sequence[str] | None = None, bucket_rows: int | None = None,
@@ -49,19 +61,19 @@ def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DA
     """All derived columns for harmonised text rows.
 
     ``row_id`` names a unique, non-NULL integer column (it orders rows
-    within duplicate groups). ``as_of`` (default: the report period) is the
-    date ages are counted to.
+    within duplicate groups); a repeated or NULL id ends the job with an
+    error, it never multiplies or drops rows. ``as_of`` (default: the report
+    period) is the date ages are counted to.
     """
     base = rules.normalise_names(df)
     rules.check_inputs(base, date_columns)
     row_id = rules.resolve(base, row_id)
     opts = dict(date_columns=date_columns, report_period=report_period, as_of=as_of,
-                vocabulary=vocabulary, visit_key=visit_key, row_id=row_id,
-                bucket_rows=bucket_rows)
+                vocabulary=vocabulary, visit_key=visit_key, row_id=row_id)
     keys = dedup.dedup_keys(base, row_id, report_period if as_of is None else as_of)
-    flags = dedup.family_flags(keys, row_id, bucket_rows)
-    # left: a row whose id is NULL (against the contract) keeps its data
-    rows = rules.row_rules(base.join(flags, row_id, "left"), **opts)
+    flags = _unique(dedup.family_flags(keys, row_id, bucket_rows), row_id)
+    known = F.when(F.col(row_id).isNull(), F.raise_error(F.lit(f"row id {row_id} is NULL"))).otherwise(F.col(row_id))
+    rows = rules.row_rules(base.withColumn(row_id, known).join(flags, row_id, "left"), **opts)
     out = dedup.label_flags(dedup.guid_unify(rows))
     return out if keep_in_care else out.drop(rules.IN_CARE)
 
@@ -69,21 +81,30 @@ def cohort(df: DataFrame, row_id: str, *, date_columns: Sequence[str] = vocab.DA
 def run(spark: SparkSession, plus_paths: str | Sequence[str], legacy_paths: str | Sequence[str],
         *, report_period=vocab.REPORT_PERIOD, as_of=None,
         mapping: dict[str, str] = vocab.COLUMN_MAPPING, row_id: str | None = None,
-        **kwargs) -> DataFrame:
-    """Read both CSV extracts and derive the cohort frame (not yet written).
-
-    ``row_id`` names an id column of the extracts holding unique integers
-    (read as BIGINT, so ids order numerically). Without it the harmonised
-    input is first written to the shared checkpoint folder with a generated id.
+        scratch: str | None = None, **kwargs) -> DataFrame:
+    """Read both CSV extracts and derive the cohort frame.
+
+    The harmonised input is written at the call, to ``scratch`` or else to a
+    new path in the shared checkpoint folder; the frame itself is lazy and
+    reads that copy. The caller removes it when the frame is done with
+    (``session.drop_scratch`` removes the paths made here). Columns that only
+    one extract has are left out, with a warning that names them.
+
+    Rows are told apart by a generated id, so no input row is lost or
+    repeated whatever the extracts' ids look like. It follows the order of
+    the extracts; with ``row_id``, an id column of theirs, rows are first
+    sorted by its integer value (non-integers first), and that order decides
+    which row of a duplicate group is the first.
     """
-    combined = hz.harmonise(read_extract(spark, plus_paths), read_extract(spark, legacy_paths),
-                            mapping)
-    if row_id is None:
-        combined, row_id = with_row_id(spark, combined), ROW_ID
-    else:
-        row_id = rules.resolve(combined, row_id)
-        # a non-integer id becomes NULL (ANSI on or off); such a row keeps its
-        # data but gets no duplicate flags
-        combined = combined.withColumn(row_id, F.col(row_id).try_cast("bigint"))
-    out = cohort(combined, row_id, report_period=report_period, as_of=as_of, **kwargs)
-    return out.drop(ROW_ID) if row_id == ROW_ID else out
+    plus, legacy = read_extract(spark, plus_paths), read_extract(spark, legacy_paths)
+    lost = hz.dropped_columns(hz.rename_columns(plus, mapping), legacy)
+    for side, columns in lost.items():
+        if columns:
+            warnings.warn(f"columns of the {'plus' if side == 'left' else 'legacy'} extract left out: {columns}",
+                          stacklevel=2)
+    combined = hz.harmonise(plus, legacy, mapping)
+    if row_id is not None:
+        # ids of later partitions are larger, so a sorted input is numbered in its order
+        combined = combined.orderBy(F.col(rules.resolve(combined, row_id)).try_cast("bigint"))
+    combined = with_row_id(spark, combined, path=scratch)
+    return cohort(combined, ROW_ID, report_period=report_period, as_of=as_of, **kwargs).drop(ROW_ID)

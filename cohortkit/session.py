@@ -27,9 +27,22 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder."""
+    """A new, unique path under the shared folder; ``drop_scratch`` removes what is there."""
     base = shared_dir(spark).rstrip("/")
     if "://" not in base:
         os.makedirs(base, exist_ok=True)
-    return f"{base}/cohortkit/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(f"{base}/cohortkit/{name}-{uuid.uuid4().hex}")
+    return _handed_out[-1]
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything written under paths from ``scratch_path``. Frames that still
+    read from there fail afterwards, so call it when their results are written."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    while _handed_out:
+        path = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        path.getFileSystem(conf).delete(path, True)

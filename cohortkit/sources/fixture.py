@@ -69,35 +69,16 @@ def load_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return orders, customer
 
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` by ``key`` over two tasks per task slot when its
-    scan has fewer partitions than slots; leave larger inputs as they are.
-
-    The per-row rules cost far more CPU than reading the rows, and a small
-    file (one row group) is a single scan task. The partition count is
-    explicit because adaptive coalescing judges by bytes, and these few
-    bytes carry a lot of CPU work. Counting scan partitions only plans the
-    file splits; it runs no job.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(2 * slots, key)
-
-
-def cohort_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cohort_fixture(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """The fixture over ``{sf_dir}/orders.parquet`` and ``customer.parquet``.
 
-    A small orders scan is first spread by the order key, while it is two
-    columns wide. ``patientid`` is the order key, so that is also the
-    partitioning the cohort plan's row-id join needs, and the join then
-    does not shuffle the wide rows again.
+    The two order columns it needs are dealt by customer over ``partitions``
+    tasks (default: two per task slot) at any input size: the rules cost far
+    more CPU than their bytes suggest, and extracts come in no useful order.
     """
     orders, customer = load_tables(spark, sf_dir)
-    orders = spread_small_scan(orders.select("o_orderkey", "o_custkey"), "o_orderkey")
+    partitions = partitions or 2 * spark.sparkContext.defaultParallelism
+    orders = orders.select("o_orderkey", "o_custkey").repartition(partitions, "o_custkey")
     return spark.sql(FIXTURE_TEMPLATE, orders=orders, customer=customer)
 
 

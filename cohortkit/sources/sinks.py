@@ -33,8 +33,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, **kwargs) -> None:
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("report_period",),
                   mode: str = "overwrite") -> None:
     """Parquet output partitioned by report period, so readers of one period
-    prune to its directory."""
+    prune to its directory. Overwriting replaces only the partitions that
+    ``df`` has rows for: earlier periods stay."""
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)

@@ -244,12 +244,39 @@ MMS6, MMS3 = "MMS6", "MMS3"
 
 # --- Fixed values: age bands. "0<1" is (0, 0.999]; "BIF" is -50..-1.
 AGE_INFANT = (0, 0.999, "0<1")
-AGE_FIRST_BAND = (1, 4, "1-4")
-AGE_BAND_WIDTH, AGE_BANDS_FROM, AGE_TOP = 5, 5, (65, "65+")
+AGE_BANDS: list[tuple[int, int, str]] = [
+    (1, 4, "1-4"),
+    (5, 9, "5-9"),
+    (10, 14, "10-14"),
+    (15, 19, "15-19"),
+    (20, 24, "20-24"),
+    (25, 29, "25-29"),
+    (30, 34, "30-34"),
+    (35, 39, "35-39"),
+    (40, 44, "40-44"),
+    (45, 49, "45-49"),
+    (50, 54, "50-54"),
+    (55, 59, "55-59"),
+    (60, 64, "60-64"),
+]
+AGE_TOP = (65, "65+")
 AGE_BEFORE_BIRTH = (-50, -1, "BIF")
 
-# --- Fixed values: ART cohort months. Three short bands, then yearly bands
-# 13-24 ... 133-144, and "(145+)" for everything else (NULL included).
-ART_COHORT_SHORT = [(0, 3, "(0<3)"), (4, 6, "(4-6)"), (7, 12, "(7-12)")]
-ART_COHORT_YEARLY_FROM, ART_COHORT_YEARLY_TO = 13, 144
+# --- Fixed values: ART cohort months; "(145+)" is everything else (NULL included).
+ART_COHORT_BANDS: list[tuple[int, int, str]] = [
+    (0, 3, "(0<3)"),
+    (4, 6, "(4-6)"),
+    (7, 12, "(7-12)"),
+    (13, 24, "(13-24)"),
+    (25, 36, "(25-36)"),
+    (37, 48, "(37-48)"),
+    (49, 60, "(49-60)"),
+    (61, 72, "(61-72)"),
+    (73, 84, "(73-84)"),
+    (85, 96, "(85-96)"),
+    (97, 108, "(97-108)"),
+    (109, 120, "(109-120)"),
+    (121, 132, "(121-132)"),
+    (133, 144, "(133-144)"),
+]
 ART_COHORT_REST = "(145+)"

@@ -9,6 +9,7 @@ sys.path.insert(0, ROOT)
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
+SF_LARGE = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="session")

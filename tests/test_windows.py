@@ -1,5 +1,6 @@
 """Skew-safe group operators against plain windows, with tiny id buckets so
-every group spans many buckets, one hot group and NULL key parts."""
+every group spans many buckets, one hot group and NULL key parts, and ids
+that are dense, hash-like or clustered."""
 
 import random
 
@@ -9,9 +10,15 @@ from pyspark.sql import functions as F
 
 from cohortkit.operators import windows
 
+IDS = {
+    "dense": lambda i, r: i * 7 + r.randint(0, 6),
+    "hash": lambda i, r: (i * 0x9E3779B97F4A7C15 + 12345) % (1 << 64) - (1 << 63),
+    "clustered": lambda i, r: (i % 3) * (1 << 55) - (1 << 54) + i,
+}
 
-@pytest.fixture(scope="module")
-def skewed(spark):
+
+@pytest.fixture(scope="module", params=sorted(IDS))
+def skewed(spark, request):
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -20,17 +27,16 @@ def skewed(spark):
         else:
             k1 = rnd.choice(["a", "b", None])
             k2 = rnd.choice([1, 2, 3, None])
-        rows.append((i * 7 + rnd.randint(0, 6), k1, k2, rnd.randint(0, 1000)))
+        rows.append((IDS[request.param](i, rnd), k1, k2, rnd.randint(0, 1000)))
     return spark.createDataFrame(rows, "rid long, k1 string, k2 int, m int").repartition(5)
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 16, 1 << 20])
-def test_group_ordinal_equals_row_number(skewed, bucket_rows):
-    ours = windows.group_ordinal(skewed, ["k1", "k2"], "rid", "rn", bucket_rows)
+@pytest.mark.parametrize("bucket_rows, span", [(1, 4), (16, 1 << 22), (1 << 20, 1 << 22)])
+def test_group_ordinal_equals_row_number(skewed, bucket_rows, span):
+    ours = windows.group_ordinal(skewed, ["k1", "k2"], "rid", "rn", bucket_rows, span)
     w = Window.partitionBy("k1", "k2").orderBy("rid")
     plain = skewed.select("rid", F.row_number().over(w).alias("rn"))
     assert sorted(ours.collect()) == sorted(plain.collect())
-    assert ours.count() == skewed.count()
 
 
 def test_first_in_group_equals_row_number_one(skewed):
@@ -40,14 +46,34 @@ def test_first_in_group_equals_row_number_one(skewed):
     assert sorted(ours.collect()) == sorted(plain.collect())
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 50])
-def test_group_extent_equals_window_min_max(skewed, bucket_rows):
-    ours = windows.group_extent(skewed, ["k1", "k2"], "m", "rid", "lo", "hi", bucket_rows)
+@pytest.mark.parametrize("salts", [1, 50])
+def test_group_extent_equals_window_min_max(skewed, salts):
+    ours = windows.group_extent(skewed, ["k1", "k2"], "m", "rid", "lo", "hi", salts)
     w = Window.partitionBy("k1", "k2")
     plain = skewed.select("rid", F.min("m").over(w).alias("lo"), F.max("m").over(w).alias("hi"))
     assert sorted(ours.select("rid", "lo", "hi").collect()) == sorted(plain.collect())
 
 
+def test_buckets_are_exact_floors(spark):
+    ids = [0, 1, -1, 5, -5, 6, (1 << 63) - 1, -(1 << 63), (1 << 53) + 1, -(1 << 53) - 1]
+    df = spark.createDataFrame([(i,) for i in ids], "i long")
+    for width in (1, 3, 1 << 20):
+        got = {r[0]: r[1] for r in df.select("i", windows._bucket(F.col("i"), width)).collect()}
+        assert got == {i: i // width for i in ids}
+
+
+def test_no_window_partition_holds_a_sparse_hot_group(spark):
+    """200,000 rows of one group with hash-like ids: spans and buckets stay small."""
+    df = spark.range(200_000).select(F.xxhash64("id").alias("rid"), F.lit("hot").alias("k"))
+    b = windows._bucket(F.col("rid"), windows.DEFAULT_BUCKET_ROWS)
+    s = windows._bucket(b, windows.SPAN)
+    per = df.select(b.alias("b"), s.alias("s")).groupBy("s").agg(F.count_distinct("b").alias("n"))
+    # a window task gets the buckets of one span, or one row per span
+    assert per.agg(F.max("n")).first()[0] < 10 and per.count() <= 200_000
+    out = windows.group_ordinal(df, ["k"], "rid", "rn")
+    assert out.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first() == (1, 200_000, 200_000)
+
+
 def test_group_extent_measure_in_key_is_identity(spark):
     df = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "b", 5)], "rid long, k string, m int")
     out = windows.group_extent(df, ["k", "m"], "m", "rid", "lo", "hi")
