@@ -39,10 +39,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _handed_out[-1]
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete everything written under paths from ``scratch_path``. Frames that still
-    read from there fail afterwards, so call it when their results are written."""
+def scratch_paths() -> list[str]:
+    """The paths handed out and not yet dropped, oldest first."""
+    return list(_handed_out)
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete what was written under ``paths`` (default: all from ``scratch_path``).
+    Frames that still read from there fail afterwards, so call it when their
+    results are written."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    while _handed_out:
-        path = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+    for name in scratch_paths() if paths is None else paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        _handed_out.remove(name)
