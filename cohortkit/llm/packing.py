@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,24 @@ from cohortkit.llm.common import packed, quoted, unpacked
 
 #: Separators that ``str.split`` knows and the tokenizers' ``\s`` does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
-#: Words of letters and marks after them, which this kind of tokenizer always encodes apart.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Words of letters and marks after them; a pre-tokenizer cuts between the two and nowhere else.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PROBES = ("a", "word", "Étranger", "größe", "naïve", "...", "!?#$", "señal", "ÿ", "internationally")
+
+
+def byte_characters() -> list[str]:
+    """The character that byte-level models write for each byte: itself where it prints, else one above 255."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return [chr(b if b in prints else 256 + rest.index(b)) for b in range(256)]
 
 
 class WordIds(dict):
     """Token ids of words, as bytes of unsigned integers of ``dtype``.
 
-    New words are encoded many at a time as one text, with a special token
-    between them to tell where each ends.
+    New plain words go straight to the model, if it is seen to give what the
+    whole tokenizer gives. The others are encoded many at a time as one text,
+    with a special token between them to tell where each ends.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
@@ -45,7 +55,15 @@ class WordIds(dict):
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.mark_id, self.mark = next(iter(special.items()))
         self.special = re.compile("|".join(map(re.escape, special.values())))
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.byte_characters = byte_characters()
+        self.dtype, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.direct = all(self.plain(w.lower()) == self.whole(w) for w in _PROBES)
+
+    def plain(self, part: str) -> bytes:
+        """Ids of one lower-case part without the steps before the model."""
+        if not part.isascii():
+            part = "".join(map(self.byte_characters.__getitem__, part.encode()))
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         """Ids of any text; special tokens' strings in it are ordinary text."""
@@ -63,7 +81,7 @@ class WordIds(dict):
             raw, size = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
             begin = 0
             for word, end in zip(part, ends, strict=True):
-                self.parts[word] = raw[size * begin:size * end]
+                self[word] = raw[size * begin:size * end]
                 begin = end + 1
 
     def learn(self, words: set[str]) -> None:
@@ -72,21 +90,21 @@ class WordIds(dict):
             self.clear()
             self.parts.clear()
             new = list(words)
-        cut, wanted = [], set()
+        known, rest = self.parts, []
         for w in new:
-            m = _PLAIN.fullmatch(w)
+            m = _PLAIN.fullmatch(w) if self.direct else None
             if m:
-                pieces = (m[1].lower(), m[2]) if m[2] else (m[1].lower(),)
-                wanted.update(pieces)
-                cut.append((w, pieces))
+                ids = b""
+                for part in (m[1].lower(), m[2]):
+                    if part not in known:
+                        known[part] = self.plain(part)
+                    ids += known[part]
+                self[w] = ids
             elif self.special.search(w):
                 self[w] = self.whole(w)
             else:
-                wanted.add(w)
-                cut.append((w, (w,)))
-        self._encode([p for p in wanted if p not in self.parts])
-        for w, pieces in cut:
-            self[w] = b"".join([self.parts[p] for p in pieces])
+                rest.append(w)
+        self._encode(rest)
 
 
 def encode_texts(texts: list[str], ids: WordIds) -> list[np.ndarray]:

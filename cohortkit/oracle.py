@@ -11,7 +11,8 @@ subtraction is BIGINT, ``floor`` is DOUBLE and ``row_number`` is BIGINT.
 
 from __future__ import annotations
 
-from cohortkit.sources.fixture import fixture_sql
+from cohortkit import vocab
+from cohortkit.sources.fixture import OTHER_MAPPED, fixture_sql
 
 RP = "DATE '2024-03-13'"
 
@@ -35,6 +36,10 @@ CANONICAL = {
     "prescriptiondate": "Prescriptiondate",
 }
 
+# the mapped columns no rule reads, under their mapped names
+OTHERS = {c.lower(): c for c in vocab.COLUMN_MAPPING if c.lower() in OTHER_MAPPED}
+CANONICAL.update(OTHERS)
+
 # configured spelling of each parsed date column (fixture name -> output name)
 DATES = [
     ("dob", "DOB"), ("hivtestdate", "HivTestDate"), ("artstartdate", "ARTStartDate"),
@@ -372,6 +377,8 @@ PASS_THROUGH = {
     "DSDModel": "dsdmodel",
 }
 
+PASS_THROUGH.update({c: f for f, c in OTHERS.items() if f != "bmi"})  # the rule's BMI replaces the extract's
+
 # Every column of the finished frame, in no particular order.
 PIPELINE_COLUMNS = (list(PASS_THROUGH) + [o for _, o in DATES]
                     + [f"{o}_{p}" for _, o in DATES for p in ("day", "month", "year")]

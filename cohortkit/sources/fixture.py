@@ -8,6 +8,8 @@ status codes). ``patientid`` (the order key) is unique and non-NULL.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,10 +54,23 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 
 # Two configured date columns the body lacks, filled from sibling dates so
 # every configured date column exists and parses.
-FIXTURE_TEMPLATE = (
-    "SELECT fx.*, fx.current_vl_date AS current_cd4_countdate, "
-    "fx.currentartregimendispensationdate AS prescriptiondate FROM (" + _FIXTURE_BODY + ") fx"
-)
+_SIBLING_DATES = {"current_cd4_countdate": "current_vl_date",
+                  "prescriptiondate": "currentartregimendispensationdate"}
+
+
+def _other_mapped() -> list[str]:
+    """The mapped columns that no rule reads (one, ``bmi``, that a rule replaces), lower case."""
+    have = set(re.findall(r" AS (\w+),?\n", _FIXTURE_BODY)) | set(_SIBLING_DATES)
+    return [c.lower() for c in vocab.COLUMN_MAPPING if c.lower() not in have]
+
+
+#: Columns that give the fixture the width of a real extract: text, some of it NULL.
+OTHER_MAPPED = _other_mapped()
+FIXTURE_TEMPLATE = "SELECT fx.*, " + ", ".join(
+    [f"fx.{src} AS {name}" for name, src in _SIBLING_DATES.items()]
+    + [f"CASE WHEN fx.patientid % {3 + i % 7} = 0 THEN NULL ELSE '{name} ' || "
+       f"CAST((fx.patientid * {i + 2}) % 89 AS VARCHAR(20)) END AS {name}"
+       for i, name in enumerate(OTHER_MAPPED)]) + " FROM (" + _FIXTURE_BODY + ") fx"
 
 
 def fixture_sql(orders: str = "orders", customer: str = "customer") -> str:
