@@ -428,6 +428,13 @@ def harmonised_sql_cols(exprs: list[str]) -> str:
     return f"WITH fx AS ({fixture_sql()})\nSELECT " + ", ".join(exprs) + "\nFROM fx"
 
 
+def ordinal_hot_sql() -> str:
+    """Plain row numbers where a third of the rows are one group."""
+    return f"""WITH fx AS ({fixture_sql()}),
+g AS (SELECT patientid, CASE WHEN patientid % 3 = 0 THEN 'hot' ELSE owningguid END AS hot_guid FROM fx)
+SELECT patientid, row_number() OVER (PARTITION BY hot_guid ORDER BY patientid) AS ordinal FROM g"""
+
+
 def visit_patient_sql() -> str:
     """Visit window keyed per patient (the reference key without the visit date)."""
     key = "artnumber, dob, sex_r, current_age, artstartdate"

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit import vocab
-from cohortkit.operators import dedup, harmonise as hz, rules
+from cohortkit.operators import dedup, harmonise as hz, rules, windows
 from cohortkit.plans.cohort import cohort
 from cohortkit.session import scratch_path
 from cohortkit.sources import csv as csv_io
 from cohortkit.sources.fixture import cohort_fixture, legacy_shape, plus_shape
 
 ROW_ID = "PatientID"
+SPARSE_STEP = 4194304001  # ids this far apart share no bucket
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -131,6 +132,23 @@ def q_guid_dups(spark, sf_dir):
                     (F.col(dedup.RANK) - 1).cast("int").alias("Pt_GUID_dups"))
 
 
+@_outputs("Pt_GUID_dups")
+def q_guid_dups_small_buckets(spark, sf_dir):
+    """``guid_dups`` with buckets of 64 ids: groups are numbered across buckets."""
+    r = dedup.dup_ordinal(_keys(spark, sf_dir), ROW_ID, bucket_rows=64)
+    return r.select(F.col(ROW_ID).alias("patientid"),
+                    (F.col(dedup.RANK) - 1).cast("int").alias("Pt_GUID_dups"))
+
+
+def q_ordinal_hot_sparse(spark, sf_dir):
+    """Ordinals where one group has a third of the rows and every id its own bucket."""
+    rows = cohort_fixture(spark, sf_dir).select(
+        "patientid", (F.col("patientid") * F.lit(SPARSE_STEP)).alias("sparse_id"),
+        F.when(F.col("patientid") % 3 == 0, "hot").otherwise(F.col("owningguid")).alias("hot_guid"))
+    r = windows.group_ordinal(rows.select("sparse_id", "hot_guid"), ["hot_guid"], "sparse_id", "ordinal")
+    return r.select(F.expr(f"sparse_id div {SPARSE_STEP}").alias("patientid"), "ordinal")
+
+
 @_outputs("distinct_GUID_label", "distinct_ART_label", "distinct_NUPN_label",
           "Pt_GUID_dups_label")
 def q_dedup_labels(spark, sf_dir):
@@ -205,6 +223,8 @@ QUERIES: dict[str, Query] = {
     "distinct_guid_names": q_distinct_guid_names,
     "distinct_guid_n": _flag_query("guid", "distinct_GUID_n"),
     "guid_dups": q_guid_dups,
+    "guid_dups_small_buckets": q_guid_dups_small_buckets,
+    "ordinal_hot_sparse": q_ordinal_hot_sparse,
     "dedup_labels": q_dedup_labels,
     "guid_unify": q_guid_unify,
     # predicates and indicators
