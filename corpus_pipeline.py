@@ -12,6 +12,8 @@ pass through the stages as their operators define.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +24,27 @@ from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
 from cohortkit.llm.quality_rules import quality_rules
 from cohortkit.llm.secrets import redact
+from cohortkit.session import drop_scratch, scratch_paths
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+_done: list[str] = []
+
+
+def _stage(work):
+    """A stage's intermediate files go when the next stage begins: by then its result is written."""
+    @functools.wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_scratch(spark, [p for p in _done if p in scratch_paths()])
+        _done.clear()
+        before = set(scratch_paths())
+        out = work(spark, docs, sf_dir)
+        _done.extend(p for p in scratch_paths() if p not in before)
+        return out
+    return run_stage
+
+
 def _as_documents(out: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, the length column recounted if there is one."""
     if "n_chars" in out.columns:
@@ -33,11 +52,13 @@ def _as_documents(out: DataFrame, docs: DataFrame) -> DataFrame:
     return out.select([quoted(c) for c in docs.columns])
 
 
+@_stage
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie far outside their group go."""
     return quality_rules(docs).where("kept").select([quoted(c) for c in docs.columns])
 
 
+@_stage
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A line that ten or more documents share stays in the first of them; documents that
     consisted of such lines only go."""
@@ -45,6 +66,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _as_documents(out.where((F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0)), docs)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays; rows that
     repeat an id are reduced to one, rows without an id all stay."""
@@ -56,11 +78,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return left
 
 
+@_stage
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark."""
     return _as_documents(redact(docs), docs)
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences; the ids in base64, little-endian unsigned 32-bit."""
     return pack(docs, TOKENIZER, columns=["doc_id"]).withColumn("ids", F.base64("ids"))
