@@ -7,14 +7,15 @@
 2. Each document's set is also hashed to a bitmap of parities. The number of
    bits in which two bitmaps differ bounds the sets' difference from below,
    their overlap from above.
-3. On every shared key all documents are paired with the smallest one only;
-   pairs whose sizes and bitmaps allow it are decided by intersecting the
-   sorted shingle arrays. Their links give first components.
-4. Keys whose documents are not yet in one component are compared further:
-   in tiles of bounded size, between rows of different components, in bands
-   of similar set size, by bitmaps, then exactly. Pairs inside a component need no
-   look, so a large group of copies costs one comparison per member, and
-   still no link between two components is lost.
+3. On every shared key each document is paired only with the first of its
+   band of set sizes and the first of the band below; pairs whose bitmaps
+   allow it are decided by intersecting the sorted shingle arrays. Their
+   links give first components.
+4. Keys whose documents of similar size are not yet in one component are
+   compared further: in tiles of bounded size, between rows of different
+   components, by bitmaps, then exactly. Pairs inside a component need no
+   look, so a large group of copies costs a comparison or two per member,
+   and still no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -63,9 +64,15 @@ def least_overlap(n: np.ndarray | int, percent: int):
     return (n * percent + 99) // 100
 
 
+def size_band(n: np.ndarray, percent: int) -> np.ndarray:
+    """Bands a little narrower than the ratio of sizes that may link: sets that may
+    are in one band or in neighbouring ones, and all sets of a band may by size."""
+    return np.floor(np.log(n) / (np.log(100 / percent) * 0.9999) if percent < 100 else n).astype(np.int64)
+
+
 def bitmap_bits(n: int) -> int:
-    """Bits of a set's bitmap: the power of two at or above twice its size."""
-    return max(MIN_BITS, 1 << (2 * n - 1).bit_length())
+    """Bits of a set's bitmap: the power of two at or above its size."""
+    return max(MIN_BITS, 1 << (n - 1).bit_length())
 
 
 def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -126,62 +133,79 @@ def count_table(texts: DataFrame, n: int, buckets: int) -> np.ndarray:
     return whole
 
 
-def shared_keys(keys: DataFrame) -> DataFrame:
-    """(key, id, leader) for the keys that two or more rows have; the leader is the smallest id."""
+def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, n, id) that another row of their key may link with by size, with
+    their ``band``, the first id of the band on that key (``leader``), and that of
+    the band below (``lower``); each the row's own id if there is none."""
     def work(batches: Iterator[pa.RecordBatch]):
-        last_key = last_id = leader = None  # the row held back, and the leader of its key
-        held_shared = False  # whether the row before it had its key
+        held = None  # the last row, with its band, leader, lower and whether it has met a neighbour
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, v = np.array(batch.column(0)), np.array(batch.column(1))
-            if last_key is not None:
-                k, v = np.concatenate([[last_key], k]), np.concatenate([[last_id], v])
-            new = np.ones(len(k), bool)
-            new[1:] = k[1:] != k[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-            lead = v[first]
-            shared = ~new
-            shared[:-1] |= ~new[1:]
-            if last_key is not None:
-                lead[first == 0] = leader
-                shared[0] |= held_shared
-            out = shared[:-1]
-            if out.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[:-1][out]), pa.array(v[:-1][out]), pa.array(lead[:-1][out])], names=["key", "id", "leader"])
-            last_key, last_id, leader, held_shared = k[-1], v[-1], lead[-1], bool(shared[-1])
-        if last_key is not None and held_shared:
-            yield pa.RecordBatch.from_arrays([pa.array([last_key], pa.int64()), pa.array([last_id], pa.int64()),
-                                              pa.array([leader], pa.int64())], names=["key", "id", "leader"])
-
-    return (keys.repartition("key").sortWithinPartitions("key", "id")
-            .mapInArrow(work, "key long, id long, leader long"))
-
-
-def cross_pairs(sizes: np.ndarray, comps: np.ndarray, minor: np.ndarray, side: np.ndarray, bitmaps: list[bytes],
-                percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a tile's rows that may link, lie in different components and meet in this tile.
-
-    Rows are taken by the width of their bitmaps; sizes over 100 / ``percent``
-    apart never meet, so only equal widths and neighbouring ones do.
+            k, n, v = (np.array(batch.column(i)) for i in range(3))
+            if held:
+                k, n, v = (np.concatenate([[x], y]) for x, y in zip(held[:3], (k, n, v)))
+            band = size_band(n, percent)
+            same = k[1:] == k[:-1]
+            begins = np.flatnonzero(np.concatenate([[True], ~same | (band[1:] != band[:-1])]))
+            runs = np.diff(np.append(begins, len(k)))
+            first, low = v[begins].copy(), np.full(len(begins), -1, np.int64)
+            if held:
+                first[0] = held[3]
+            follows = (k[begins[1:]] == k[begins[:-1]]) & (band[begins[1:]] == band[begins[:-1]] + 1)
+            low_known = np.concatenate([[False], follows])
+            low[1:] = first[:-1]
+            if held and held[4] is not None:
+                low[0], low_known[0] = held[4], True
+            leader = np.repeat(first, runs)
+            lower = np.where(np.repeat(low_known, runs), np.repeat(low, runs), v)
+            meets = same & (percent * n[1:] <= 100 * n[:-1])
+            shared = np.zeros(len(k), bool)
+            shared[1:] |= meets
+            shared[:-1] |= meets
+            if held:
+                shared[0] |= held[5]
+            out = np.flatnonzero(shared[:-1])
+            if len(out):
+                yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (k, band, n, v, leader, lower)], names=names)
+            held = (k[-1], n[-1], v[-1], leader[-1], lower[-1] if low_known[-1] else None, bool(shared[-1]))
+        if held and held[5]:
+            low = held[2] if held[4] is None else held[4]
+            row = (held[0], size_band(np.array([held[1]]), percent)[0], held[1], held[2], held[3], low)
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in row], names=names)
+
+    names = ["key", "band", "n", "id", "leader", "lower"]
+    return (keys.repartition("key").sortWithinPartitions("key", "n", "id")
+            .mapInArrow(work, ", ".join(f"{c} long" for c in names)))
+
+
+def cross_pairs(tile: np.ndarray, sizes: np.ndarray, comps: np.ndarray, side: np.ndarray, home: np.ndarray,
+                bitmaps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one tile that may link and lie in different components.
+
+    Where a tile's rows have two sides only pairs across them meet, and one of
+    a pair must be at home in the tile's band. Wider bitmaps are folded.
     """
     widths = np.array([len(b) for b in bitmaps])
     found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     bands = {w: np.flatnonzero(widths == w) for w in np.unique(widths).tolist()}
     maps = {w: np.frombuffer(b"".join(bitmaps[i] for i in at), np.uint64).reshape(len(at), w // 8)
             for w, at in bands.items()}
+    sides = np.zeros((int(tile.max(initial=0)) + 1, 2), bool)
+    sides[tile, side] = True
+    two_sides = sides.all(axis=1)[tile]
     for w, rows in bands.items():
         for w2, others in bands.items():
-            if w2 < w or w2 > w * 2 * 100 // percent:
+            if w2 < w:
                 continue
             small = fold(maps[w2], w // 8)
             for a in range(0, len(rows), 128):
                 ra = rows[a:a + 128]
                 for b in range(0, len(others), 1024):
                     rb = others[b:b + 1024]
-                    ok = comps[ra][:, None] != comps[rb][None, :]
-                    ok &= side[ra][:, None] != side[rb][None, :] if side.any() and not side.all() else True
+                    ok = (comps[ra][:, None] != comps[rb][None, :]) & (tile[ra][:, None] == tile[rb][None, :])
+                    ok &= home[ra][:, None] | home[rb][None, :]
+                    ok &= (side[ra][:, None] != side[rb][None, :]) | ~two_sides[ra][:, None]
                     low = np.minimum(sizes[ra][:, None], sizes[rb][None, :])
                     high = np.maximum(sizes[ra][:, None], sizes[rb][None, :])
                     ok &= 100 * low >= percent * high
@@ -199,74 +223,100 @@ def cross_pairs(sizes: np.ndarray, comps: np.ndarray, minor: np.ndarray, side: n
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def tiled_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: what ``cross_pairs`` finds in every tile; input sorted by tile."""
-    columns = ["id", "n", "comp", "minor", "side", "bitmap"]
+def tiled_pairs(rows: DataFrame, percent: int, together: int = 256) -> DataFrame:
+    """(a, b), a < b: what ``cross_pairs`` finds in every tile; input sorted by tile.
+    Small tiles are searched ``together`` rows at a time."""
+    columns = ["id", "n", "comp", "side", "home", "bitmap"]
 
-    def search(parts: list[pa.Table]):
-        t = pa.concat_tables(parts)
-        ids, n, comp, minor, side = (t[c].to_numpy() for c in columns[:5])
-        a, b = cross_pairs(n, comp, minor, side, t["bitmap"].to_pylist(), percent)
+    def search(parts: list[tuple[int, pa.Table]]):
+        t = pa.concat_tables([p for _, p in parts])
+        tile = np.repeat(np.arange(len(parts)), [p.num_rows for _, p in parts])
+        number = np.unique([k for k, _ in parts], return_inverse=True)[1]
+        ids, n, comp, side, home = (t[c].to_numpy() for c in columns[:5])
+        a, b = cross_pairs(number[tile], n, comp, side, home.astype(bool), t["bitmap"].to_pylist(), percent)
         a, b = ids[a], ids[b]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]):
-        open_tile, parts = None, []
+        last, number, parts, held = None, 0, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tile = np.column_stack([np.array(batch.column(i)) for i in range(3)])
+            tile = np.column_stack([np.array(batch.column(i), np.int64) for i in range(4)])
             starts = np.concatenate([[0], np.flatnonzero((tile[1:] != tile[:-1]).any(axis=1)) + 1, [len(tile)]]).tolist()
             body = pa.Table.from_batches([batch]).select(columns)
             for a, b in zip(starts, starts[1:]):
                 now = tuple(tile[a])
-                if parts and now != open_tile:
-                    yield search(parts)
-                    parts = []
-                open_tile = now
-                parts.append(body.slice(a, b - a))
+                if now != last:
+                    if held >= together:
+                        yield search(parts)
+                        parts, held = [], 0
+                    last, number = now, number + 1
+                parts.append((number, body.slice(a, b - a)))
+                held += b - a
         if parts:
             yield search(parts)
 
     return rows.mapInArrow(work, "a long, b long").distinct()
 
 
+def banded(rows: DataFrame) -> DataFrame:
+    """Rows (key, band, n, id, comp) in the (key, band) groups that need a comparison.
+
+    A row is at home in its own band and visits the one above, so that all
+    sets of similar size meet. Groups of one component or without a row at
+    home are left out, and of the groups of the same rows (by size and two
+    64-bit hashes) all but one.
+    """
+    spread = rows.select("key", "n", "id", "comp", F.explode(F.array(
+        F.struct(F.col("band").alias("band"), F.lit(1).alias("home")),
+        F.struct((F.col("band") + 1).alias("band"), F.lit(0).alias("home")))).alias("t")).select(
+        "key", F.col("t.band").alias("band"), "id", "n", "comp", F.col("t.home").alias("home"))
+    mark = F.struct("id", "home")
+    mixed = (spread.groupBy("key", "band").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("home").alias("any_home"),
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(mark)).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit(1), mark)).alias("two"))
+        .where((F.col("low") < F.col("high")) & (F.col("any_home") == 1)))
+    # documents that share many keys without linking are the same group on each of them
+    once = mixed.groupBy("band", "size", "one", "two").agg(F.min("key").alias("key")).select("key", "band")
+    return spread.join(once, ["key", "band"])
+
+
 def tiles(rows: DataFrame, block: int) -> DataFrame:
-    """Rows (key, id, comp, n, bitmap) of keys with several components, dealt into tiles of bounded size.
+    """Rows (key, band, id, n, comp, home, bitmap) dealt into tiles of bounded size.
 
-    The rows of a key's largest component meet only the others (``minor``);
-    those also meet each other. Both kinds are split into blocks of about
-    ``block`` rows, and every pair of blocks that must meet is a tile.
+    The rows of a group's largest component meet only the others, which also
+    meet each other. Both kinds are split into blocks of about ``block``
+    rows, and every pair of blocks that must meet is a tile.
     """
-    per = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-    key = (per.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("major"), F.max("m").alias("major_rows"),
-                                  (F.sum("m") - F.max("m")).alias("minor_rows"))
-           .where(F.col("minor_rows") > 0)
-           .select("key", "major", F.ceil(F.col("major_rows") / block).cast("int").alias("majors"),
-                   F.ceil(F.col("minor_rows") / block).cast("int").alias("minors")))
-    j = rows.join(key, "key").withColumn("minor", F.col("comp") != F.col("major"))
+    per = rows.groupBy("key", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
+    group = (per.groupBy("key", "band").agg(F.max_by("comp", F.struct("m", "comp")).alias("major"),
+                                            F.max("m").alias("major_rows"), (F.sum("m") - F.max("m")).alias("minor_rows"))
+             .select("key", "band", "major", F.ceil(F.col("major_rows") / block).cast("int").alias("majors"),
+                     F.ceil(F.col("minor_rows") / block).cast("int").alias("minors")))
+    j = rows.join(group, ["key", "band"])
     of_major = F.pmod(F.xxhash64("id"), F.col("majors")).cast("int")
     of_minor = F.pmod(F.xxhash64("id"), F.col("minors")).cast("int")
 
     def upto(n):
         return F.sequence(F.lit(0), n - 1)
 
-    # a tile is (block, block) with its kind in the sign: minor against minor below zero
-    against = F.when(~F.col("minor"), F.transform(upto(F.col("minors")), lambda x: F.struct(
-        of_major.alias("x"), x.alias("y"), F.lit(0).alias("side")))).otherwise(F.concat(
+    # a tile is a pair of blocks; those of two blocks of minor rows have x below zero
+    against = F.when(F.col("comp") == F.col("major"), F.transform(upto(F.col("minors")), lambda y: F.struct(
+        of_major.alias("x"), y.alias("y"), F.lit(0).alias("side")))).otherwise(F.concat(
             F.transform(upto(F.col("majors")), lambda x: F.struct(x.alias("x"), of_minor.alias("y"), F.lit(1).alias("side"))),
-            F.transform(upto(F.col("minors")), lambda x: F.struct(
-                (-1 - F.least(x, of_minor)).alias("x"), F.greatest(x, of_minor).alias("y"),
-                # in a tile of two different blocks only pairs across it count
-                F.when(x == of_minor, 0).when(of_minor < x, 0).otherwise(1).alias("side")))))
-    return (j.select("key", "id", "n", "comp", "minor", "bitmap", F.explode(against).alias("t"))
-            .select("key", F.col("t.x").alias("x"), F.col("t.y").alias("y"), "id", "n", "comp", "minor",
-                    F.col("t.side").alias("side"), "bitmap")
-            .repartition("key", "x", "y").sortWithinPartitions("key", "x", "y"))
+            F.transform(upto(F.col("minors")), lambda o: F.struct(
+                (-1 - F.least(o, of_minor)).alias("x"), F.greatest(o, of_minor).alias("y"),
+                F.when(of_minor > o, 1).otherwise(0).alias("side")))))
+    return (j.select("key", "band", "id", "n", "comp", "home", "bitmap", F.explode(against).alias("t"))
+            .select("key", "band", F.col("t.x").alias("x"), F.col("t.y").alias("y"), "id", "n", "comp",
+                    F.col("t.side").alias("side"), "home", "bitmap")
+            .repartition("key", "band", "x", "y").sortWithinPartitions("key", "band", "x", "y"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    percent: int = 80, buckets: int = 1 << 22, block: int = 1024) -> DataFrame:
+                    percent: int = 80, buckets: int = 1 << 21, block: int = 1024) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` of every row.
 
     A text's set are its distinct shingles of ``words`` words (runs without
@@ -314,19 +364,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             place = np.arange(len(doc)) - np.repeat(ends - sizes, sizes)
             take = place < np.repeat(sizes - least_overlap(sizes, percent) + 1, sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(all_sets[order][take].view(np.int64)), pa.array(ids[doc[take]])], names=["key", "id"])
+                [pa.array(all_sets[order][take].view(np.int64)), pa.array(sizes[doc[take]]), pa.array(ids[doc[take]])],
+                names=["key", "n", "id"])
 
-    shared = saved(shared_keys(texts.mapInArrow(prefix, "key long, id long")), "shared-keys")
-    stars = (shared.where(F.col("id") != F.col("leader"))
-             .select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
+    shared = saved(shared_keys(texts.mapInArrow(prefix, "key long, n long, id long"), percent), "shared-keys")
+    stars = (shared.select(F.col("id").alias("b"), F.explode(F.array("leader", "lower")).alias("a"))
+             .where(F.col("a") != F.col("b")).select("a", "b").distinct())
     links = exact_links(stars, known, texts, words, percent)
     comp = components(links)
 
-    placed = shared.select("key", "id").distinct().join(comp, F.col("id") == F.col("node"), "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp"))
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-             .where(F.col("low") < F.col("high")).select("key"))
-    rows = saved(placed.join(mixed, "key").join(known.select("id", "n", "bitmap"), "id"), "mixed-keys")
+    placed = (shared.select("key", "band", "n", "id").distinct().join(comp, F.col("id") == F.col("node"), "left")
+              .select("key", "band", "n", "id", F.coalesce("component", "id").alias("comp")))
+    rows = saved(banded(placed), "mixed-keys").join(known.select("id", "n", "bitmap"), ["id", "n"])
     more = exact_links(tiled_pairs(tiles(rows, block), percent), known, texts, words, percent)
     comp = components(links.unionByName(more))
     out = sketches.join(comp, F.col("id") == F.col("node"), "left")
@@ -334,8 +383,51 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                       F.coalesce("component", "id").alias("component_id"))
 
 
+FILTER_BITS = 1 << 24
+
+
+def id_places(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def id_bits(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which ids the filter may hold."""
+    at = id_places(ids)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def id_filter(ids: DataFrame) -> bytes:
+    """A filter of fixed size over a column of ids: it holds all of them, and others by chance."""
+    schema = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
+
+    def gather(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            bits[id_places(np.array(batch.column(0), np.int64))] = True
+        whole = np.packbits(bits, bitorder="little")
+        for i in range(0, len(whole), SEGMENT):
+            if whole[i:i + SEGMENT].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // SEGMENT], pa.int32()),
+                                                  pa.array([whole[i:i + SEGMENT].tobytes()])], schema=schema)
+
+    def join(batches):
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                found[i] = found.get(i, np.uint8(0)) | np.frombuffer(bits, np.uint8)
+        for i, bits in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([bits.tobytes()])], schema=schema)
+
+    ddl = "segment int, bits binary"
+    out = bytearray(FILTER_BITS // 8)
+    for r in ids.mapInArrow(gather, ddl).repartition("segment").mapInArrow(join, ddl).collect():  # the filter's size at most
+        out[r["segment"] * SEGMENT:(r["segment"] + 1) * SEGMENT] = r["bits"]
+    return bytes(out)
+
+
 def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link: equal sets, or bitmaps that allow it and enough common shingles."""
+    spark = pairs.sparkSession
     left = known.select(F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("n", "digest", "bitmap")])
     right = known.select(F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("n", "digest", "bitmap")])
     near = pairs.join(left, "a").join(right, "b").where(
@@ -361,13 +453,17 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
     unsure = open_pairs.where(~F.col("same")).select("a", "b")
     needed = saved(unsure.select(F.col("a").alias("id")).union(unsure.select("b")).distinct(), "needed-ids")
 
+    wanted = spark.sparkContext.broadcast(id_filter(needed))  # a fixed number of bits
+
     def arrays(batches):
-        for part, data, offsets in text_chunks(batches, "text"):
+        bits = np.frombuffer(wanted.value, np.uint8)
+        for part, data, offsets in text_chunks(
+                (b.filter(pa.array(id_bits(np.array(b.column(0).fill_null(0), np.int64), bits))) for b in batches), "text"):
             sets = shingle_sets(data, offsets, words)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["id", "shingles"])
 
-    sets = saved(texts.join(needed, "id", "left_semi").mapInArrow(arrays, "id long, shingles binary"), "shingle-arrays")
+    sets = saved(texts.mapInArrow(arrays, "id long, shingles binary"), "shingle-arrays")
 
     def decide(batches):
         for batch in batches:

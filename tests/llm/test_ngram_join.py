@@ -94,7 +94,7 @@ def test_bitmaps_never_exclude_a_link():
         assert differing <= len(a) + len(b) - 2 * common
         if 100 * common >= 80 * (len(a) + len(b) - common):
             assert may_link(np.array([len(a)]), np.array([len(b)]), np.array([differing]), 80)[0]
-    assert bitmap_bits(1) == 64 and bitmap_bits(33) == 128
+    assert bitmap_bits(1) == bitmap_bits(64) == 64 and bitmap_bits(65) == 128
 
 
 def test_word_hashes():
