@@ -13,9 +13,10 @@
    links give first components.
 4. Keys whose documents of similar size are not yet in one component are
    compared further: in tiles of bounded size, between rows of different
-   components, by bitmaps, then exactly. Pairs inside a component need no
-   look, so a large group of copies costs a comparison or two per member,
-   and still no link between two components is lost.
+   components, by bitmaps, then exactly. In the first rounds a row offers
+   only the nearest row of another component, which joins large groups at a
+   cost of one pair per row; the last round offers all that are left. Pairs
+   inside a component need no look, and no link between two is lost.
 """
 
 from __future__ import annotations
@@ -180,14 +181,15 @@ def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_pairs(tile: np.ndarray, sizes: np.ndarray, comps: np.ndarray, side: np.ndarray, home: np.ndarray,
-                bitmaps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one tile that may link and lie in different components.
+                bitmaps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one tile that may link and lie in different components, and the
+    least share of their shingles in which they differ.
 
     Where a tile's rows have two sides only pairs across them meet, and one of
     a pair must be at home in the tile's band. Wider bitmaps are folded.
     """
     widths = np.array([len(b) for b in bitmaps])
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found_a, found_b, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     bands = {w: np.flatnonzero(widths == w) for w in np.unique(widths).tolist()}
     maps = {w: np.frombuffer(b"".join(bitmaps[i] for i in at), np.uint64).reshape(len(at), w // 8)
             for w, at in bands.items()}
@@ -220,12 +222,22 @@ def cross_pairs(tile: np.ndarray, sizes: np.ndarray, comps: np.ndarray, side: np
                     good = may_link(sizes[ra[i]], sizes[rb[j]], differing, percent)
                     found_a.append(ra[i[good]])
                     found_b.append(rb[j[good]])
-    return np.concatenate(found_a), np.concatenate(found_b)
+                    apart.append(differing[good] / (sizes[found_a[-1]] + sizes[found_b[-1]]))
+    return np.concatenate(found_a), np.concatenate(found_b), np.concatenate(apart)
 
 
-def tiled_pairs(rows: DataFrame, percent: int, together: int = 256) -> DataFrame:
-    """(a, b), a < b: what ``cross_pairs`` finds in every tile; input sorted by tile.
-    Small tiles are searched ``together`` rows at a time."""
+def nearest_of_each(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Which pairs are the nearest one of either of their rows (the first of equals)."""
+    row = np.concatenate([a, b])
+    order = np.lexsort((np.concatenate([apart, apart]), row))
+    first = np.ones(len(order), bool)
+    first[1:] = row[order[1:]] != row[order[:-1]]
+    return np.unique(order[first] % max(len(a), 1))
+
+
+def tiled_pairs(rows: DataFrame, percent: int, nearest: bool, together: int = 256) -> DataFrame:
+    """(a, b), a < b: what ``cross_pairs`` finds in every tile, or each row's nearest of
+    it; input sorted by tile. Small tiles are searched ``together`` rows at a time."""
     columns = ["id", "n", "comp", "side", "home", "bitmap"]
 
     def search(parts: list[tuple[int, pa.Table]]):
@@ -233,9 +245,12 @@ def tiled_pairs(rows: DataFrame, percent: int, together: int = 256) -> DataFrame
         tile = np.repeat(np.arange(len(parts)), [p.num_rows for _, p in parts])
         number = np.unique([k for k, _ in parts], return_inverse=True)[1]
         ids, n, comp, side, home = (t[c].to_numpy() for c in columns[:5])
-        a, b = cross_pairs(number[tile], n, comp, side, home.astype(bool), t["bitmap"].to_pylist(), percent)
-        a, b = ids[a], ids[b]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        a, b, apart = cross_pairs(number[tile], n, comp, side, home.astype(bool), t["bitmap"].to_pylist(), percent)
+        if nearest:
+            best = nearest_of_each(a, b, apart)
+            a, b = a[best], b[best]
+        pairs = np.unique(np.sort(np.column_stack([ids[a], ids[b]]), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def work(batches: Iterator[pa.RecordBatch]):
         last, number, parts, held = None, 0, [], 0
@@ -316,7 +331,7 @@ def tiles(rows: DataFrame, block: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    percent: int = 80, buckets: int = 1 << 21, block: int = 1024) -> DataFrame:
+                    percent: int = 80, buckets: int = 1 << 21, block: int = 1024, rounds: int = 2) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` of every row.
 
     A text's set are its distinct shingles of ``words`` words (runs without
@@ -330,8 +345,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     any of its texts; each row is returned. Rows without an id take no part
     and have no component. Ids must be integers. Other columns are not read.
     An empty table gives an empty result. ``buckets`` (a power of two) and
-    ``block`` bound memory; results do not depend on them. Runs its jobs at
-    the call.
+    ``block`` bound memory, ``rounds`` are the rounds of nearest rows; results
+    do not depend on them. Runs its jobs at the call.
     """
     spark = docs.sparkSession
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
@@ -373,11 +388,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = exact_links(stars, known, texts, words, percent)
     comp = components(links)
 
-    placed = (shared.select("key", "band", "n", "id").distinct().join(comp, F.col("id") == F.col("node"), "left")
-              .select("key", "band", "n", "id", F.coalesce("component", "id").alias("comp")))
-    rows = saved(banded(placed), "mixed-keys").join(known.select("id", "n", "bitmap"), ["id", "n"])
-    more = exact_links(tiled_pairs(tiles(rows, block), percent), known, texts, words, percent)
-    comp = components(links.unionByName(more))
+    for nearest in [True] * rounds + [False]:
+        placed = (shared.select("key", "band", "n", "id").distinct().join(comp, F.col("id") == F.col("node"), "left")
+                  .select("key", "band", "n", "id", F.coalesce("component", "id").alias("comp")))
+        rows = saved(banded(placed), "mixed-keys").join(known.select("id", "n", "bitmap"), ["id", "n"])
+        more = exact_links(tiled_pairs(tiles(rows, block), percent, nearest), known, texts, words, percent)
+        # the components so far stand for the links that made them
+        comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     out = sketches.join(comp, F.col("id") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "id").alias("component_id"))
