@@ -6,8 +6,12 @@ of a host's pages are joined and their suffixes sorted to the depth of
 ``depth`` tokens; runs that repeat on many distinct pages are boilerplate.
 Blocks covered by such runs are removed, the unique runs stay.
 
-A large host is split into shards of bounded size; what is boilerplate on a
-host repeats within each of its shards too.
+A large host is split into shards of bounded size, but its runs are counted
+over the whole host. Distinct pages are dealt by a hash of their text, so the
+shards' counts add up; a run on a share of the host's pages is on that share
+of some shard's at least, so each shard first names the runs it has that
+often. These are then counted in every shard and summed, and the shards drop
+those that reach the host's thresholds.
 """
 
 from __future__ import annotations
@@ -18,11 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortkit.llm.common import packed, quoted, saved, unpacked
+from cohortkit.llm.words import windows
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[/?!a-zA-Z][^>]*+>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -43,6 +49,13 @@ comment comments reply replies respond discussion disqus footer contentinfo tool
 skip copyright form dialog""".split())
 HEADERS = frozenset(("header", "masthead"))
 
+# What makes a run boilerplate, see ``unique_blocks``.
+DEPTH = 8
+MIN_PAGES, SHARE = 4, 0.02
+ARTICLE_PAGES, ARTICLE_SHARE = 10, 0.6
+COVERED = 0.9
+SEEN = 1 << 16  # page texts a task remembers
+
 
 @dataclass
 class Block:
@@ -166,50 +179,110 @@ def pages_with(rank: np.ndarray, page: np.ndarray) -> np.ndarray:
     return out
 
 
-def unique_blocks(pages: list[list[Block]], *, depth: int = 8, min_pages: int = 4, share: float = 0.02,
-                  article_share: float = 0.6, article_pages: int = 10, covered: float = 0.9) -> list[list[str]]:
-    """Each page's blocks but those covered by runs that repeat across the pages.
+@dataclass
+class Stream:
+    """Pages as one token stream: 0 ends a block, a negative value of its own a page."""
+    tokens: np.ndarray
+    page_of: np.ndarray  # equal pages have the number of their first
+    spans: list[list[tuple[int, int]]]  # of each page's blocks
+    ends: np.ndarray  # where each page begins, and the end
+    n_pages: int  # distinct ones
 
-    Outside an article element a run is boilerplate on ``min_pages`` distinct
-    pages and ``share`` of them; inside, where markup speaks for the text, on
-    ``article_pages`` and ``article_share``. Pages of equal text count once.
-    """
+
+def stream(pages: list[list[Block]]) -> tuple[Stream, list[str]]:
+    """The stream and its vocabulary; tokens are places in it, from 1."""
     vocabulary: dict[str, int] = {}
-    stream: list[int] = []
+    tokens: list[int] = []
     page_of: list[int] = []
     spans: list[list[tuple[int, int]]] = []
+    ends = [0]
     distinct: dict[tuple[str, ...], int] = {}
     for p, page in enumerate(pages):
         same = distinct.setdefault(tuple(b.text for b in page), p)
         own = []
         for b in page:
             ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in b.text.split()]
-            own.append((len(stream), len(stream) + len(ids)))
-            stream += ids
-            stream.append(0)  # the end of a block
+            own.append((len(tokens), len(tokens) + len(ids)))
+            tokens += ids
+            tokens.append(0)  # the end of a block
             page_of += [same] * (len(ids) + 1)
-        stream.append(-1 - p)  # the end of a page, equal to no other
+        tokens.append(-1 - p)  # the end of a page, equal to no other
         page_of.append(same)
         spans.append(own)
-    n_pages = len(distinct)
-    if n_pages < min_pages:
-        return [[b.text for b in page] for page in pages]
-    tokens = np.array(stream, np.int64)
-    found = pages_with(ranks(tokens, depth), np.array(page_of))
+        ends.append(len(tokens))
+    return Stream(np.array(tokens, np.int64), np.array(page_of, np.int64), spans, np.array(ends), len(distinct)), list(vocabulary)
+
+
+def run_hashes(s: Stream, vocabulary: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs that end before their page does, the same in every shard, and their places."""
+    words = np.array([1] + [xxhash.xxh3_64_intdigest(w) for w in vocabulary], np.uint64)
+    # the page's end takes no part: a run with it repeats nowhere
+    inner = s.tokens >= 0
+    at = np.flatnonzero(inner)
+    found, first = windows(words[s.tokens[at]], np.concatenate([[0], np.cumsum(inner)])[s.ends], depth)
+    return found.view(np.int64), at[first]
+
 
-    def cover(least: float) -> np.ndarray:
-        edge = np.zeros(len(tokens) + depth + 1, np.int32)
-        at = np.flatnonzero(found >= least)
+def uncovered(pages: list[list[Block]], s: Stream, loose: np.ndarray, strict: np.ndarray, *, depth: int,
+              covered: float) -> list[list[str]]:
+    """Each page's blocks but those covered by the runs at places ``loose``, or ``strict`` in articles."""
+    def cover(at: np.ndarray) -> np.ndarray:
+        edge = np.zeros(len(s.tokens) + depth + 1, np.int32)
         np.add.at(edge, at, 1)
         np.add.at(edge, at + depth, -1)
         # a run up to the end of a page is shorter than depth, and unique by that end
-        return np.concatenate([[0], np.cumsum(np.cumsum(edge)[:len(tokens)] > 0)])
+        return np.concatenate([[0], np.cumsum(np.cumsum(edge)[:len(s.tokens)] > 0)])
+
+    outside, inside = cover(loose), cover(strict)
+    return [[b.text for b, (i, j) in zip(page, own)
+             if (c := inside if b.inside else outside)[j] - c[i] < covered * (j - i)]
+            for page, own in zip(pages, s.spans)]
+
+
+def unique_blocks(pages: list[list[Block]], *, depth: int = DEPTH, min_pages: int = MIN_PAGES, share: float = SHARE,
+                  article_share: float = ARTICLE_SHARE, article_pages: int = ARTICLE_PAGES,
+                  covered: float = COVERED) -> list[list[str]]:
+    """Each page's blocks but those covered by runs that repeat across the pages.
+
+    Outside an article element a run is boilerplate on ``min_pages`` distinct
+    pages and ``share`` of them; inside, where markup speaks for the text, on
+    ``article_pages`` and ``article_share``. Pages of equal text count once.
+    """
+    s, _ = stream(pages)
+    if s.n_pages < min_pages:
+        return [[b.text for b in page] for page in pages]
+    found = pages_with(ranks(s.tokens, depth), s.page_of)
+    return uncovered(pages, s, np.flatnonzero(found >= max(min_pages, share * s.n_pages)),
+                     np.flatnonzero(found >= max(article_pages, article_share * s.n_pages)), depth=depth, covered=covered)
+
 
-    loose = cover(max(min_pages, share * n_pages))
-    strict = cover(max(article_pages, article_share * n_pages))
-    return [[b.text for b, (s, e) in zip(page, own)
-             if (c := strict if b.inside else loose)[e] - c[s] < covered * (e - s)]
-            for page, own in zip(pages, spans)]
+def frequent_runs(pages: list[list[Block]]) -> tuple[int, np.ndarray]:
+    """Number of a shard's distinct pages, and the runs on such a share of them that they can be
+    boilerplate of the host: one on less than that in every shard is on less in all."""
+    s, vocabulary = stream(pages)
+    if not s.n_pages:
+        return 0, np.zeros(0, np.int64)
+    runs, at = run_hashes(s, vocabulary, DEPTH)
+    found = pages_with(ranks(s.tokens, DEPTH), s.page_of)[at]
+    return s.n_pages, np.unique(runs[found >= min(SHARE, ARTICLE_SHARE) * s.n_pages - 1e-9])
+
+
+def counted_runs(pages: list[list[Block]], asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """On how many of a shard's distinct pages the runs ``asked`` for occur, for those that do."""
+    s, vocabulary = stream(pages)
+    runs, at = run_hashes(s, vocabulary, DEPTH)
+    hit = np.isin(runs, asked)
+    runs, at = runs[hit], at[hit]
+    found = pages_with(runs, s.page_of[at])
+    runs, first = np.unique(runs, return_index=True)
+    return runs, found[first]
+
+
+def blocks_without(pages: list[list[Block]], loose: np.ndarray, strict: np.ndarray) -> list[list[str]]:
+    """Each page's blocks but those covered by the given runs."""
+    s, vocabulary = stream(pages)
+    runs, at = run_hashes(s, vocabulary, DEPTH)
+    return uncovered(pages, s, at[np.isin(runs, loose)], at[np.isin(runs, strict)], depth=DEPTH, covered=COVERED)
 
 
 def main_text(pages: DataFrame, *, html_col: str = "html", url_col: str = "url", id_col: str = "page_id",
@@ -221,38 +294,107 @@ def main_text(pages: DataFrame, *, html_col: str = "html", url_col: str = "url",
     without a URL belongs to a host of its own kind. Rows repeat as given;
     equal pages count once when repeats are counted. An empty table gives an
     empty result. Pages are compared within their host, in shards of about
-    ``shard_pages``; a host's count is taken over all pages.
+    ``shard_pages``; a run's count is taken over all of the host's pages, so
+    results do not depend on the shards.
     """
     names = [c for c in pages.columns if c != html_col] if columns is None else list(columns)
     host = F.lower(F.regexp_extract(F.coalesce(quoted(url_col).cast("string"), F.lit("")),
                                     r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    large = saved(pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    # by the page first: a page of very many copies is spread
+    copies = pages.select(host.alias("host"), F.xxhash64(quoted(html_col)).alias("page")).groupBy("host", "page") \
+        .agg(F.count(F.lit(1)).alias("n"))
+    large = saved(copies.groupBy("host").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pages"))
                   .where(F.col("n") > shard_pages)
-                  .select(F.col("host").alias("large_host"), F.ceil(F.col("n") / shard_pages).cast("int").alias("shards")),
+                  .select(F.col("host").alias("large_host"), F.ceil(F.col("n") / shard_pages).cast("int").alias("shards"),
+                          F.ceil(F.col("pages") / shard_pages).cast("int").alias("counting")),
                   "large-hosts")
     rows = pages.select(packed(pages.select([quoted(c) for c in names])).alias("row"), host.alias("host"),
                         F.xxhash64(quoted(id_col), quoted(url_col)).alias("key"), quoted(html_col).cast("string").alias("html"))
     kept = rows.schema["row"]
+    one = F.lit(1)
     dealt = rows.join(large, F.col("host") == F.col("large_host"), "left").select(
-        "row", "host", F.pmod("key", F.coalesce("shards", F.lit(1))).cast("int").alias("shard"), "html")
+        "row", "host", F.coalesce("shards", one).alias("shards"), F.coalesce("counting", one).alias("counting"),
+        F.pmod("key", F.coalesce("shards", one)).cast("int").alias("shard"), "html")
     kind = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_())]))
 
     def parse(batches):
+        # A task's first page of a text goes to the shard of that text and counts there, once with
+        # those of other tasks; its copies go anywhere.
+        seen: set[tuple[str, bytes]] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [[{"text": b.text, "inside": b.inside} for b in article_blocks(x.as_py() or "")]
-                         for x in part.column(3)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(found, kind)],
-                                                 names=["row", "host", "shard", "blocks"])
-
-    empty = pages.sparkSession.createDataFrame([], "host string, shard int, blocks array<struct<text:string,inside:boolean>>")
+                found, shard, counts = [], [], []
+                for h, shards, counting, own, x in zip(*(c.to_pylist() for c in part.columns[1:])):
+                    page = article_blocks(x or "")
+                    found.append([{"text": b.text, "inside": b.inside} for b in page])
+                    digest = xxhash.xxh3_128_digest("\n".join(b.text for b in page)) if shards > 1 else b""
+                    first = shards == 1 or (h, digest) not in seen
+                    if shards > 1 and first:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add((h, digest))
+                        own = int.from_bytes(digest[:8], "little") % counting
+                    shard.append(own)
+                    counts.append(first)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(shard, pa.int32()), pa.array(counts, pa.bool_()), pa.array(found, kind)],
+                    names=["row", "host", "shards", "shard", "counts", "blocks"])
+
+    empty = pages.sparkSession.createDataFrame(
+        [], "host string, shards int, shard int, counts boolean, blocks array<struct<text:string,inside:boolean>>")
     cut = dealt.mapInArrow(parse, StructType([kept, *empty.schema]))
-
-    def clean(group: pa.Table) -> pa.Table:
-        found = [[Block(b["text"], b["inside"]) for b in x] for x in group["blocks"].to_pylist()]
-        return pa.table({"row": group["row"], "text": pa.array(
-            ["\n\n".join(x) for x in unique_blocks(found)], pa.string())})
-
-    out = cut.groupBy("host", "shard").applyInArrow(clean, StructType([kept, StructField("text", StringType())]))
+    # all three passes over the shards group the same rows in the same way, which are shuffled once
+    shards_of = cut.groupBy("host", "shard")
+
+    def parsed(group: pa.Table, counting: bool) -> list[list[Block]]:
+        found = group["blocks"].filter(group["counts"]) if counting else group["blocks"]
+        return [[Block(b["text"], b["inside"]) for b in x] for x in found.to_pylist()]
+
+    def one_host(group: pa.Table, runs, n, pages_on) -> pa.Table:
+        return pa.table([pa.array([group["host"][0].as_py()] * len(runs), pa.string()),
+                         pa.array([group["shards"][0].as_py()] * len(runs), pa.int32()), pa.array(runs, pa.int64()),
+                         pa.array(pages_on, pa.int64()), pa.array(n, pa.int64())], names=["host", "shards", "run", "pages", "n"])
+
+    def name_runs(group: pa.Table) -> pa.Table:
+        if group["shards"][0].as_py() == 1:
+            return one_host(group, [], [], [])
+        n, runs = frequent_runs(parsed(group, True))
+        return one_host(group, [None, *runs.tolist()], [n] + [0] * len(runs), [0] * (len(runs) + 1))
+
+    def count_runs(group: pa.Table, asked: pa.Table) -> pa.Table:
+        if not group.num_rows or not asked.num_rows:
+            return one_host(group if group.num_rows else asked, [], [], [])
+        runs, found = counted_runs(parsed(group, True), asked["runs"].combine_chunks().flatten().to_numpy())
+        return one_host(group, runs, np.full(len(runs), asked["n"][0].as_py()), found)
+
+    def clean(group: pa.Table, known: pa.Table) -> pa.Table:
+        found = parsed(group, False)
+        if not found:
+            texts = []
+        elif group["shards"][0].as_py() == 1:
+            texts = unique_blocks(found)
+        elif not known.num_rows:
+            texts = [[b.text for b in page] for page in found]
+        else:
+            listed = known["runs"].combine_chunks().flatten()
+            runs, on = (listed.field(i).to_numpy() for i in (0, 1))
+            n = known["n"][0].as_py()
+            texts = blocks_without(found, runs[on >= max(MIN_PAGES, SHARE * n)], runs[on >= max(ARTICLE_PAGES, ARTICLE_SHARE * n)])
+        return pa.table({"row": group["row"], "text": pa.array(["\n\n".join(x) for x in texts], pa.string())})
+
+    def to_shards(hosts: DataFrame):
+        return hosts.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).groupBy("host", "shard")
+
+    ddl = "host string, shards int, run long, pages long, n long"
+    named = shards_of.applyInArrow(name_runs, ddl).groupBy("host").agg(
+        F.max("shards").alias("shards"), F.sum("n").alias("n"), F.collect_set("run").alias("runs"))
+    counted = shards_of.cogroup(to_shards(named)).applyInArrow(count_runs, ddl).groupBy("host", "run").agg(
+        F.max("shards").alias("shards"), F.sum("pages").alias("pages"), F.max("n").alias("n"))
+    # of a page's length at most 1 / share runs a token are on that share of the pages
+    known = counted.where((F.col("pages") >= F.greatest(F.lit(MIN_PAGES), SHARE * F.col("n")))
+                          | (F.col("pages") >= F.greatest(F.lit(ARTICLE_PAGES), ARTICLE_SHARE * F.col("n")))) \
+        .groupBy("host").agg(F.max("shards").alias("shards"), F.max("n").alias("n"),
+                             F.collect_list(F.struct("run", "pages")).alias("runs"))
+    out = shards_of.cogroup(to_shards(known)).applyInArrow(clean, StructType([kept, StructField("text", StringType())]))
     return out.select(unpacked(out, [c for c in names if c != "text"] + ["text"], {"text": F.col("text")}))

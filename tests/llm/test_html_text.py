@@ -71,3 +71,28 @@ def test_main_text(spark):
 
 def test_blocks_keep_order():
     assert [b.text for b in blocks("<table><tr><td>a<td>b<tr><td>c</table><pre>x\n y</pre>")] == ["a b", "c", "x y"]
+
+
+def test_results_do_not_depend_on_shards(spark):
+    """Runs count over the host: at, above and below its limits, with copies of pages that count once."""
+    r = np.random.default_rng(3)
+
+    def notice(k):
+        return " ".join(f"notice{k}word{j}" for j in range(12))
+
+    rows = []
+    for i in range(400):
+        said = [notice(k) for k, on in enumerate((7, 8, 9, 12, 40, 400)) if (i * 7 + k * 31) % 400 < on]
+        own = " ".join(f"w{x}" for x in r.integers(0, 10**6, 12))
+        rows.append((i, f"http://big.example/{i}", "".join(f"<p>{x}</p>" for x in [*said, own])))
+    # 400 distinct pages: eight are 2 %; copies of a page with the rarest notice don't make it frequent
+    rare = next(x for x in rows if notice(0) in x[2])
+    rows += [(1000 + i, f"http://big.example/copy{i}", rare[2]) for i in range(60)]
+    rows += [(2000 + i, f"http://small.example/{i}", f"<p>{notice(9)}</p><p>{i} own") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    whole = {x["page_id"]: x["text"] for x in main_text(df, shard_pages=1000).collect()}
+    for i in (7, 32, 256):
+        assert {x["page_id"]: x["text"] for x in main_text(df, shard_pages=i).collect()} == whole
+    left = "\n".join(whole.values())
+    assert [notice(k) in left for k in range(6)] == [True, False, False, False, False, False]
+    assert sum(notice(0) in x for x in whole.values()) == 67
