@@ -66,9 +66,9 @@ def least_overlap(n: np.ndarray | int, percent: int):
 
 
 def size_band(n: np.ndarray, percent: int) -> np.ndarray:
-    """Bands a little narrower than the ratio of sizes that may link: sets that may
-    are in one band or in neighbouring ones, and all sets of a band may by size."""
-    return np.floor(np.log(n) / (np.log(100 / percent) * 0.9999) if percent < 100 else n).astype(np.int64)
+    """Bands a little wider than the ratio of sizes that may link: sets that may are in
+    one band or in neighbouring ones. Some of a band may not: sizes are compared too."""
+    return np.floor(np.log(n) / (np.log(100 / percent) * 1.0001) if percent < 100 else n).astype(np.int64)
 
 
 def bitmap_bits(n: int) -> int:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from cohortkit.llm.components import components
-from cohortkit.llm.ngram_join import bitmap_bits, fold, may_link, near_duplicates, parity_bitmap, shingle_sets
+from cohortkit.llm.ngram_join import bitmap_bits, fold, may_link, near_duplicates, parity_bitmap, shingle_sets, size_band
 from cohortkit.llm.words import word_hashes
 
 from llm_fixtures import make_docs  # noqa: F401
@@ -125,3 +125,12 @@ def test_connected_components(spark):
         parent[y] = x
     assert got == {x: find(x) for x in list(parent) if find(x) != x}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95, 100])
+def test_sizes_that_may_link_are_in_neighbouring_bands(percent):
+    n = np.arange(1, 1_000_001)
+    band = size_band(n, percent)
+    largest = 100 * n // percent  # the largest set that may link with one of n
+    assert (np.diff(band) >= 0).all()
+    assert (size_band(largest, percent) - band <= 1).all()
