@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortkit.llm.chat_format import DEFAULT as CHAT, format_chats, read_back
 from cohortkit.llm.common import table
+from cohortkit.llm.decontaminate import decontaminate
 from cohortkit.llm.html_text import main_text
 from cohortkit.llm.importance import importance_sample
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.neighbours import nearest_neighbours
 from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
+from cohortkit.llm.periodic_runs import collapse_runs
 from cohortkit.llm.quality_rules import quality_rules
 from cohortkit.llm.secrets import secret_scan
 from cohortkit.llm.sentencepieces import decode, encode
+from cohortkit.llm.whitening import whiten
 
 
 def op1_nearest_neighbours(spark, sf_dir):
@@ -157,6 +163,83 @@ def op10_packing(spark, sf_dir):
                       "sequence_id", "offset", "sequence_tokens")
 
 
+
+def op11_decontamination(spark, sf_dir):
+    """Ten-word passages of benchmark items in every document."""
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), columns=["doc_id"])
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS k
+  FROM (SELECT *, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT m FROM win),
+dw AS (
+  SELECT r, m, i, array_to_string(w[i : i + m - 1], ' ') AS k
+  FROM (SELECT r, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM d, sizes WHERE len(w) >= m)),
+hits AS (SELECT dw.r, dw.m, dw.i, win.item_id FROM dw JOIN win ON dw.m = win.m AND dw.k = win.k),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + m - 1)) AS p FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
+
+def op12_whitening(spark, sf_dir):
+    """Every embedding on its eight leading principal components, at unit variance."""
+    out = whiten(table(spark, sf_dir, "embeddings"), columns=["vec_id"])
+    return out.select("vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+                      "whitened", "explained", "identity_error")
+
+
+def with_periods(docs):
+    """``docs`` (doc_id, text), a tenth of them made periodic from some word on.
+
+    With h the CRC-32 of the decimal id and g = h // 10, documents with h % 10 = 0
+    and n > 0 words repeat the p words from a = g % n on, p = 1 + (n - a) // (3 + g % 8).
+    """
+    def work(batches):
+        for batch in batches:
+            texts = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                h = zlib.crc32(str(doc_id).encode())
+                words = (text.as_py() or "").encode().split() if doc_id is not None and h % 10 == 0 else []
+                if words:
+                    g, n = h // 10, len(words)
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    text = pa.scalar(b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode())
+                texts.append(text.as_py())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    docs = docs.select("doc_id", "text")
+    return docs.mapInArrow(work, docs.schema)
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of every document, and digests of the runs and of the text without repeats."""
+    out = collapse_runs(with_periods(table(spark, sf_dir, "documents")), columns=["doc_id"])
+    best = F.aggregate("runs", F.element_at("runs", 1), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    out = out.withColumn("best", F.when(F.size("runs") > 0, best))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                      F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
 QUERIES = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_line_dedup": op2_line_dedup,
@@ -168,10 +251,14 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_packing": op10_packing,
+    "op11_decontamination": op11_decontamination,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op1_nearest_neighbours": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
     "op4_chat_format": OP4_SQL,
+    "op11_decontamination": OP11_SQL,
 }
