@@ -14,12 +14,13 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 
 from cohortkit import vocab
 from cohortkit.plans.cohort import run
-from cohortkit.session import drop_scratch
+from cohortkit.session import Scratch, drop_scratch
 from cohortkit.sources.sinks import write_parquet
 
 
@@ -30,10 +31,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output folder (Parquet)")
     p.add_argument("--report-period", default=vocab.REPORT_PERIOD)
     p.add_argument("--as-of", default=None, help="date ages are counted to (default: report period)")
-    p.add_argument("--row-id", default=None, help="integer id column of the extracts that orders duplicates")
+    p.add_argument("--row-id", default=None, help="id column of the extracts that orders duplicates")
     p.add_argument("--mapping", default=None, help="JSON file: canonical column name -> second-system name")
     p.add_argument("--date-columns", default=None, help="JSON file: list of the date columns")
-    p.add_argument("--scratch", default=None, help="where the harmonised input is kept during the run")
+    p.add_argument("--scratch", default=None, help="folder under which the harmonised input is kept during the run")
     p.add_argument("--vocabulary", choices=["reference", "fixed"], default="reference")
     return p.parse_args(argv)
 
@@ -48,12 +49,17 @@ def load_json(path: str | None, default):
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("cohortkit").getOrCreate()
-    frame = run(spark, args.plus, args.legacy, report_period=args.report_period,
-                as_of=args.as_of, row_id=args.row_id, vocabulary=args.vocabulary, scratch=args.scratch,
+    scratch = args.scratch and f"{args.scratch.rstrip('/')}/cohort-input-{uuid.uuid4().hex}"
+    try:
+        with Scratch(spark):
+            write_parquet(run(
+                spark, args.plus, args.legacy, report_period=args.report_period, as_of=args.as_of,
+                row_id=args.row_id, vocabulary=args.vocabulary, scratch=scratch,
                 mapping=load_json(args.mapping, vocab.COLUMN_MAPPING),
-                date_columns=load_json(args.date_columns, vocab.DATE_COLUMNS))
-    write_parquet(frame, args.out)
-    drop_scratch(spark)
+                date_columns=load_json(args.date_columns, vocab.DATE_COLUMNS)), args.out)
+    finally:
+        if scratch:
+            drop_scratch(spark, [scratch])
     return 0
 
 

@@ -90,6 +90,58 @@ def month_year(df: DataFrame, date_columns: Sequence[str] = vocab.DATE_COLUMNS)
     return df.withColumns(cols)
 
 
+# Date parts that later rules read.
+PARTS_READ = ["ARTStartDate_month", "ARTStartDate_year", "report_period_month", "report_period_year"]
+
+
+class Packed:
+    """Columns that no rule reads, carried as arrays from the first rule to the last.
+
+    A step of the rules copies its whole input row. As an array, the text
+    columns that only pass through and the date parts are one field to copy
+    each, and one of the 100 fields that whole-stage code may have, however
+    many they are.
+    """
+    TEXT, NAMES, YEARS = "__text_columns", "__date_names", "__date_years"
+
+    def __init__(self, df: DataFrame, read: Sequence[str], date_columns: Sequence[str]):
+        read = {c.lower() for c in read}
+        self.columns = list(df.columns)
+        self.text = [f.name for f in df.schema if f.name.lower() not in read and f.dataType.simpleString() == "string"]
+        parts = [p for c in date_columns for p in date_parts(c) if p not in PARTS_READ]
+        self.names = [p for p in parts if not p.endswith("_year")]
+        self.years = [p for p in parts if p.endswith("_year")]
+        self.parts = [p for c in date_columns for p in date_parts(c)]
+
+    def _array(self, values: list, kind: str):
+        return F.array(*values) if values else F.array().cast(f"array<{kind}>")
+
+    def pack(self, df: DataFrame) -> DataFrame:
+        """The text columns that pass through become one."""
+        kept = [F.col(_q(c)) for c in df.columns if c not in set(self.text)]
+        return df.select(*kept, self._array([F.col(_q(c)) for c in self.text], "string").alias(self.TEXT))
+
+    def month_year(self, df: DataFrame, date_columns: Sequence[str]) -> DataFrame:
+        """``month_year``, as two arrays but for the parts that rules read."""
+        cols = {k: v for c in date_columns for k, v in date_parts(c).items()}
+        arrays = {self.NAMES: self._array([cols[p] for p in self.names], "string"),
+                  self.YEARS: self._array([cols[p] for p in self.years], "int")}
+        return df.withColumns(arrays | {p: cols[p] for p in PARTS_READ if p in cols})
+
+    def unpack(self, df: DataFrame) -> DataFrame:
+        """Every column under its own name, in the order the steps alone would give."""
+        packed = {c: F.get(F.col(self.TEXT), F.lit(i)) for i, c in enumerate(self.text)}
+        packed |= {c: F.get(F.col(self.NAMES), F.lit(i)) for i, c in enumerate(self.names)}
+        packed |= {c: F.get(F.col(self.YEARS), F.lit(i)) for i, c in enumerate(self.years)}
+        made = {c.lower(): c for c in df.columns if c not in (self.TEXT, self.NAMES, self.YEARS)}
+        # a rule's output replaces an input column of its name, whatever the case
+        order = [made.get(c.lower(), c) for c in self.columns]
+        for c in ["report_period", *self.parts, *made.values()]:
+            if c not in order:
+                order.append(c)
+        return df.select([F.col(_q(c)) if c.lower() in made else packed[c].alias(c) for c in order])
+
+
 # -------------------------------------------------------------- patients
 def normalise_patient(df: DataFrame, as_of=vocab.REPORT_PERIOD) -> DataFrame:
     """Height in metres, BMI text, test result, sex, PMTCT, on-ART and ages."""
@@ -199,12 +251,13 @@ def mms(df: DataFrame) -> DataFrame:
 def row_rules(df: DataFrame, *, date_columns: Sequence[str] = vocab.DATE_COLUMNS,
               report_period=vocab.REPORT_PERIOD, as_of=None, vocabulary: str = "reference",
               visit_key: Sequence[str] | None = None, row_id: str | None = None,
-              upto: str | None = None) -> DataFrame:
-    """Every per-row rule, in dependency order. ``upto`` stops after a step."""
+              upto: str | None = None, packed: Packed | None = None) -> DataFrame:
+    """Every per-row rule, in dependency order. ``upto`` stops after a step.
+    With ``packed``, ``df`` comes from its ``pack`` and the result is for its ``unpack``."""
     as_of = report_period if as_of is None else as_of
     steps = [
         ("convert_dates", lambda d: convert_dates(d, date_columns, report_period)),
-        ("month_year", lambda d: month_year(d, date_columns)),
+        ("month_year", lambda d: (packed.month_year if packed else month_year)(d, date_columns)),
         ("normalise_patient", lambda d: normalise_patient(d, as_of)),
         ("buckets", buckets),
         ("cohort_and_eligibility", cohort_and_eligibility),

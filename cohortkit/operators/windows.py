@@ -67,8 +67,8 @@ def group_ordinal(df: DataFrame, keys: Sequence[str], row_id: str, out: str,
     keyed = df.select(F.col(row_id), F.struct(*[F.col(k) for k in keys]).alias(_GK),
                       _bucket(F.col(row_id).cast("bigint"), width).alias(_B))
     local = keyed.withColumn(_LOC, F.row_number().over(Window.partitionBy(_GK, _B).orderBy(row_id)))
-    # rows per (group, bucket): a map-side-combined count, not a second window
-    sizes = keyed.groupBy(_GK, _B).agg(F.count(F.lit(1)).alias(_N)).withColumn(_S, _bucket(F.col(_B), span))
+    # rows per (group, bucket), in the partitioning the window has: its shuffle of the keys is read again
+    sizes = local.groupBy(_GK, _B).agg(F.max(_LOC).cast("bigint").alias(_N)).withColumn(_S, _bucket(F.col(_B), span))
 
     def earlier(order: str, *by: str) -> Column:
         before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

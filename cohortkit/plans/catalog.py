@@ -5,6 +5,7 @@ outputs (harmonisation queries return whole harmonised rows)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,8 +87,10 @@ def q_src_csv(spark, sf_dir):
     """Write both extract shapes as header CSV, read them back as text and harmonise."""
     fx = cohort_fixture(spark, sf_dir)
     plus_path, legacy_path = scratch_path(spark, "plus-csv"), scratch_path(spark, "legacy-csv")
-    csv_io.write_extract(plus_shape(fx), plus_path)
-    csv_io.write_extract(legacy_shape(fx), legacy_path)
+    with ThreadPoolExecutor(2) as pool:  # two jobs side by side
+        for done in [pool.submit(csv_io.write_extract, plus_shape(fx), plus_path),
+                     pool.submit(csv_io.write_extract, legacy_shape(fx), legacy_path)]:
+            done.result()
     plus, legacy = csv_io.read_extract(spark, plus_path), csv_io.read_extract(spark, legacy_path)
     out = hz.harmonise(plus, legacy)
     return out.withColumn("PatientID", F.col("PatientID").cast("bigint"))
