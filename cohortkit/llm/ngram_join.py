@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import quoted, saved, text_chunks
+from cohortkit.llm.common import quoted, saved, text_chunks, tidy
 from cohortkit.llm.components import components
 from cohortkit.llm.words import mix, windows, word_hashes
 
@@ -46,7 +46,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarr
     out = []
     for i, (a, b) in enumerate(zip(ends, ends[1:])):
         if b > a:
-            out.append(np.unique(found[a:b]))
+            own = np.sort(found[a:b])
+            fresh = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=fresh[1:])
+            out.append(own[fresh])
         else:
             words = hashes[words_at[i]:words_at[i + 1]]
             if len(words):
@@ -99,24 +102,21 @@ def may_link(size_a: np.ndarray, size_b: np.ndarray, differing: np.ndarray, perc
     return 100 * overlap >= percent * (total - overlap)
 
 
-def count_table(texts: DataFrame, n: int, buckets: int) -> np.ndarray:
-    """How many documents' shingles fall into each bucket (a fixed number of counters)."""
+def count_rows(table: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The counters of one task by segment, as 16-bit numbers (more counts as that)."""
+    segment = min(SEGMENT, len(table))
+    for i in range(0, len(table), segment):
+        part = table[i:i + segment]
+        if part.any():
+            yield i // segment, np.minimum(part, 0xFFFF).astype("<u2").tobytes()
+
+
+def count_table(parts: DataFrame, buckets: int) -> np.ndarray:
+    """How many documents' shingles fall into each bucket (a fixed number of counters),
+    from (segment, counts) rows."""
     schema = pa.schema([("segment", pa.int32()), ("counts", pa.binary())])
     segment = min(SEGMENT, buckets)
 
-    def count(batches):
-        table = np.zeros(buckets, np.int64)
-        for _, data, offsets in text_chunks(batches, "text"):
-            sets = shingle_sets(data, offsets, n)
-            if sets:
-                table += np.bincount((np.concatenate(sets) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
-        for i in range(0, buckets, segment):
-            part = table[i:i + segment]
-            if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // segment], pa.int32()),
-                     pa.array([np.minimum(part, 0xFFFF).astype("<u2").tobytes()])], schema=schema)
-
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -127,13 +127,23 @@ def count_table(texts: DataFrame, n: int, buckets: int) -> np.ndarray:
                 [pa.array([i], pa.int32()), pa.array([np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes()])],
                 schema=schema)
 
-    ddl = "segment int, counts binary"
     whole = np.zeros(buckets, np.uint32)
-    for r in texts.mapInArrow(count, ddl).repartition("segment").mapInArrow(add, ddl).collect():  # 4 bytes a bucket
+    for r in parts.repartition("segment").mapInArrow(tidy(add), "segment int, counts binary").collect():  # 4 bytes a bucket
         whole[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], "<u4")
     return whole
 
 
+def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of a set of which any set similar enough shares one: its rarest, by one
+    order for all documents (counters, then hashes)."""
+    if not len(shingles):
+        return shingles
+    take = len(shingles) - int(least_overlap(len(shingles), percent)) + 1
+    common = np.minimum(counts[(shingles & np.uint64(len(counts) - 1)).astype(np.int64)], 0xFFFFF).astype(np.uint64)
+    order = (common << np.uint64(44)) | (shingles >> np.uint64(20))
+    return shingles[np.argsort(order, kind="stable")[:take]]
+
+
 def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
     """Rows (key, n, id) that another row of their key may link with by size, with
     their ``band``, the first id of the band on that key (``leader``), and that of
@@ -177,7 +187,7 @@ def shared_keys(keys: DataFrame, percent: int) -> DataFrame:
 
     names = ["key", "band", "n", "id", "leader", "lower"]
     return (keys.repartition("key").sortWithinPartitions("key", "n", "id")
-            .mapInArrow(work, ", ".join(f"{c} long" for c in names)))
+            .mapInArrow(tidy(work), ", ".join(f"{c} long" for c in names)))
 
 
 def cross_pairs(tile: np.ndarray, sizes: np.ndarray, comps: np.ndarray, side: np.ndarray, home: np.ndarray,
@@ -272,7 +282,7 @@ def tiled_pairs(rows: DataFrame, percent: int, nearest: bool, together: int = 25
         if parts:
             yield search(parts)
 
-    return rows.mapInArrow(work, "a long, b long").distinct()
+    return rows.mapInArrow(tidy(work), "a long, b long").distinct()
 
 
 def banded(rows: DataFrame) -> DataFrame:
@@ -288,14 +298,17 @@ def banded(rows: DataFrame) -> DataFrame:
         F.struct((F.col("band") + 1).alias("band"), F.lit(0).alias("home")))).alias("t")).select(
         "key", F.col("t.band").alias("band"), "id", "n", "comp", F.col("t.home").alias("home"))
     mark = F.struct("id", "home")
+    spread = spread.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     mixed = (spread.groupBy("key", "band").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("home").alias("any_home"),
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(mark)).alias("one"),
-        F.bit_xor(F.xxhash64(F.lit(1), mark)).alias("two"))
+        F.bit_xor(F.xxhash64(F.lit(1), mark)).alias("two"), F.collect_set("salt").alias("salts"))
         .where((F.col("low") < F.col("high")) & (F.col("any_home") == 1)))
     # documents that share many keys without linking are the same group on each of them
-    once = mixed.groupBy("band", "size", "one", "two").agg(F.min("key").alias("key")).select("key", "band")
-    return spread.join(once, ["key", "band"])
+    once = (mixed.groupBy("band", "size", "one", "two").agg(F.min_by(F.struct("key", "salts"), "key").alias("g"))
+            .select(F.col("g.key").alias("key"), "band", F.explode("g.salts").alias("salt")))
+    # a group's rows are found again by (key, band, salt): a large one is spread over its salts
+    return spread.join(once, ["key", "band", "salt"])
 
 
 def tiles(rows: DataFrame, block: int) -> DataFrame:
@@ -305,12 +318,13 @@ def tiles(rows: DataFrame, block: int) -> DataFrame:
     meet each other. Both kinds are split into blocks of about ``block``
     rows, and every pair of blocks that must meet is a tile.
     """
-    per = rows.groupBy("key", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
+    per = rows.groupBy("key", "band", "comp").agg(F.count(F.lit(1)).alias("m"), F.collect_set("salt").alias("salts"))
     group = (per.groupBy("key", "band").agg(F.max_by("comp", F.struct("m", "comp")).alias("major"),
-                                            F.max("m").alias("major_rows"), (F.sum("m") - F.max("m")).alias("minor_rows"))
+                                            F.max("m").alias("major_rows"), (F.sum("m") - F.max("m")).alias("minor_rows"),
+                                            F.array_distinct(F.flatten(F.collect_list("salts"))).alias("salts"))
              .select("key", "band", "major", F.ceil(F.col("major_rows") / block).cast("int").alias("majors"),
-                     F.ceil(F.col("minor_rows") / block).cast("int").alias("minors")))
-    j = rows.join(group, ["key", "band"])
+                     F.ceil(F.col("minor_rows") / block).cast("int").alias("minors"), F.explode("salts").alias("salt")))
+    j = rows.join(group, ["key", "band", "salt"])
     of_major = F.pmod(F.xxhash64("id"), F.col("majors")).cast("int")
     of_minor = F.pmod(F.xxhash64("id"), F.col("minors")).cast("int")
 
@@ -330,6 +344,21 @@ def tiles(rows: DataFrame, block: int) -> DataFrame:
             .repartition("key", "band", "x", "y").sortWithinPartitions("key", "band", "x", "y"))
 
 
+def copies_of(sized: DataFrame, salts: int = 256) -> DataFrame:
+    """(id, first): documents whose set an earlier id has too, and the first id that has it.
+
+    A set's first id is matched back by (set, salt), so one that a third of all
+    documents have is spread over the salts.
+    """
+    salt = F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")
+    rows = sized.select("digest", "id").distinct().withColumn("salt", salt)
+    part = rows.groupBy("digest", "salt").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m"))
+    whole = (part.groupBy("digest").agg(F.min("first").alias("first"), F.sum("m").alias("m"),
+                                        F.collect_list("salt").alias("salts"))
+             .where("m > 1").select("digest", "first", F.explode("salts").alias("salt")))
+    return rows.join(whole, ["digest", "salt"]).where("id <> first").select("id", "first")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80, buckets: int = 1 << 21, block: int = 1024, rounds: int = 2) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` of every row.
@@ -352,41 +381,54 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
 
     def sketch(batches):
+        counts = np.zeros(buckets, np.int64)
+        names = ["id", "n", "digest", "bitmap", "segment"]
         for part, data, offsets in text_chunks(batches, "text"):
             sets = shingle_sets(data, offsets, words)
+            if sets:
+                counts += np.bincount((np.concatenate(sets) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                 pa.array([parity_bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                names=["id", "n", "digest", "bitmap"])
-
-    sketches = saved(texts.mapInArrow(sketch, "id long, n long, digest binary, bitmap binary"), "shingle-sketches")
-    known = sketches.where(F.col("id").isNotNull() & (F.col("n") > 0))
-    table = spark.sparkContext.broadcast(count_table(texts.select("text"), words, buckets))  # 4 bytes a bucket
+                 pa.array([parity_bitmap(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                 pa.nulls(len(sets), pa.int32())], names=names)
+        # the task's counters follow its documents, in the column of the bitmaps
+        for segment, part in count_rows(counts):
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([part], pa.binary()), pa.array([segment], pa.int32())], names=names)
+
+    written = saved(texts.mapInArrow(tidy(sketch), "id long, n long, digest binary, bitmap binary, segment int"),
+                    "shingle-sketches")
+    sketches = written.where("segment IS NULL").drop("segment")
+    sized = sketches.where(F.col("id").isNotNull() & (F.col("n") > 0))
+    counted = written.where("segment IS NOT NULL").select("segment", F.col("bitmap").alias("counts"))
+    table = spark.sparkContext.broadcast(count_table(counted, buckets))  # 4 bytes a bucket
+    # documents of one set are one from here on: the first of them stands for those left out
+    copies = saved(copies_of(sized), "shingle-copies")
+    left_out = (copies.join(sized.groupBy("id").count().where("count = 1").drop("count"), "id")
+                .select(F.col("id").alias("copy")).distinct())
+    known = saved(sized.join(left_out, F.col("id") == F.col("copy"), "left_anti"), "shingle-sets")
+    read = spark.sparkContext.broadcast(id_filter(known.select("id")))  # a fixed number of bits
 
     def prefix(batches):
-        counts = table.value
+        counts, bits = table.value, np.frombuffer(read.value, np.uint8)
         for part, data, offsets in text_chunks(batches, "text"):
             ids = np.array(part.column(0).fill_null(0), np.int64)
             sets = shingle_sets(data, offsets, words)
+            # a copy that the filter lets through follows its first document on every key and links nothing
+            wanted = id_bits(ids, bits) & ~np.array(part.column(0).is_null())
+            keys = [rarest(s, counts, percent) if w else s[:0] for s, w in zip(sets, wanted)]
+            doc = np.repeat(np.arange(len(sets)), [len(k) for k in keys])
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             sizes = np.array([len(s) for s in sets], np.int64)
-            sizes[np.array(part.column(0).is_null())] = 0
-            all_sets = np.concatenate([s for s, m in zip(sets, sizes) if m] or [np.zeros(0, np.uint64)])
-            doc = np.repeat(np.arange(len(sets)), sizes)
-            # the rarest first, by one order for all documents
-            order = np.lexsort((all_sets, counts[(all_sets & np.uint64(buckets - 1)).astype(np.int64)], doc))
-            ends = np.cumsum(sizes)
-            place = np.arange(len(doc)) - np.repeat(ends - sizes, sizes)
-            take = place < np.repeat(sizes - least_overlap(sizes, percent) + 1, sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(all_sets[order][take].view(np.int64)), pa.array(sizes[doc[take]]), pa.array(ids[doc[take]])],
-                names=["key", "n", "id"])
+                [pa.array(flat.view(np.int64)), pa.array(sizes[doc]), pa.array(ids[doc])], names=["key", "n", "id"])
 
-    shared = saved(shared_keys(texts.mapInArrow(prefix, "key long, n long, id long"), percent), "shared-keys")
+    shared = saved(shared_keys(texts.mapInArrow(tidy(prefix), "key long, n long, id long"), percent), "shared-keys")
     stars = (shared.select(F.col("id").alias("b"), F.explode(F.array("leader", "lower")).alias("a"))
              .where(F.col("a") != F.col("b")).select("a", "b").distinct())
     links = exact_links(stars, known, texts, words, percent)
-    comp = components(links)
+    comp = components(links.unionByName(copies.select(F.col("id").alias("a"), F.col("first").alias("b"))))
 
     for nearest in [True] * rounds + [False]:
         placed = (shared.select("key", "band", "n", "id").distinct().join(comp, F.col("id") == F.col("node"), "left")
@@ -401,6 +443,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 FILTER_BITS = 1 << 24
+#: Parts that a group's rows are dealt into where group facts meet them.
+SALTS = 64
 
 
 def id_places(ids: np.ndarray) -> np.ndarray:
@@ -437,7 +481,7 @@ def id_filter(ids: DataFrame) -> bytes:
 
     ddl = "segment int, bits binary"
     out = bytearray(FILTER_BITS // 8)
-    for r in ids.mapInArrow(gather, ddl).repartition("segment").mapInArrow(join, ddl).collect():  # the filter's size at most
+    for r in ids.mapInArrow(tidy(gather), ddl).repartition("segment").mapInArrow(tidy(join), ddl).collect():  # the filter's size at most
         out[r["segment"] * SEGMENT:(r["segment"] + 1) * SEGMENT] = r["bits"]
     return bytes(out)
 
@@ -466,7 +510,7 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
 
     same = (F.col("a_digest") == F.col("b_digest")).alias("same")
     open_pairs = saved(near.select("a", "b", "a_n", "b_n", same, "a_bitmap", "b_bitmap")
-                       .mapInArrow(bound, "a long, b long, same boolean"), "bounded-pairs")
+                       .mapInArrow(tidy(bound), "a long, b long, same boolean"), "bounded-pairs")
     unsure = open_pairs.where(~F.col("same")).select("a", "b")
     needed = saved(unsure.select(F.col("a").alias("id")).union(unsure.select("b")).distinct(), "needed-ids")
 
@@ -480,7 +524,7 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["id", "shingles"])
 
-    sets = saved(texts.mapInArrow(arrays, "id long, shingles binary"), "shingle-arrays")
+    sets = saved(texts.mapInArrow(tidy(arrays), "id long, shingles binary"), "shingle-arrays")
 
     def decide(batches):
         for batch in batches:
@@ -495,5 +539,5 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
 
     checked = (unsure.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a")
                .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
-               .select("a", "b", "a_shingles", "b_shingles").mapInArrow(decide, "a long, b long"))
+               .select("a", "b", "a_shingles", "b_shingles").mapInArrow(tidy(decide), "a long, b long"))
     return saved(open_pairs.where("same").select("a", "b").unionByName(checked), "links")

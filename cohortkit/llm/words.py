@@ -31,11 +31,19 @@ def is_space(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data - np.uint8(9)) < np.uint8(5))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.empty(n + 1, np.uint64)
-    out[0] = 1
-    out[1:] = np.uint64(_ODD)
-    return np.cumprod(out, dtype=np.uint64)
+_kept: dict[int, np.ndarray] = {}
+
+
+def _powers(n: int, base: int = _ODD) -> np.ndarray:
+    """The powers 0 to ``n`` of ``base``; those up to a block's length are kept."""
+    out = _kept.get(base)
+    if out is None or len(out) <= n:
+        out = np.full(max(n, _BLOCK) + 1, np.uint64(base))
+        out[0] = 1
+        out = np.cumprod(out, dtype=np.uint64)
+        if n <= 2 * _BLOCK:
+            _kept[base] = out
+    return out[:n + 1]
 
 
 def _word_sums(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -51,11 +59,7 @@ def _word_sums(data: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: n
         sums[0] = 0
         np.cumsum(values[data[lo:hi]] * powers[:-1], dtype=np.uint64, out=sums[1:])
         s, e = starts[at:to] - lo, ends[at:to] - lo
-        back = np.empty(hi - lo + 1, np.uint64)
-        back[0] = 1
-        back[1:] = np.uint64(inverse)
-        np.cumprod(back, dtype=np.uint64, out=back)
-        out[at:to] = (sums[e] - sums[s]) * back[s]
+        out[at:to] = (sums[e] - sums[s]) * _powers(hi - lo, inverse)[s]
         at = to
     return out
 
