@@ -15,7 +15,9 @@ pair of every word at once) and the merges decide.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import os
 import re
 from dataclasses import dataclass
 
@@ -34,6 +36,10 @@ NEVER = -1e30
 #: An unknown character costs this much more than the worst piece.
 UNKNOWN_COST = 10.0
 LONG_WORD = 64
+#: High bits of a hash by which most substrings are told from all pieces without a search.
+NEAR_BITS = 20
+#: Characters of a long word whose substrings are hashed at once.
+WINDOW = 1 << 14
 CELLS = 1 << 21
 
 
@@ -50,6 +56,7 @@ class Vocabulary:
     unknown: int
     dummy_prefix: bool
     split: str  # pattern of the words
+    near: np.ndarray  # by the high bits of a hash: whether any piece has these
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -74,14 +81,16 @@ class Vocabulary:
         normal = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         if any(SPACE in pieces[i].lstrip(SPACE) for i in normal):
             raise ValueError("pieces that reach across words are not supported")
-        keys = np.array([piece_key(pieces[i]) for i in normal], np.uint64)
+        keys = piece_keys([pieces[i] for i in normal])
+        near = np.zeros(1 << NEAR_BITS, bool)
+        near[keys >> np.uint64(64 - NEAR_BITS)] = True
         order = np.argsort(keys)
         at = next((i for i in range(n) if sp.is_byte(i)), None)
         # a line feed that is in no piece ends a word as well
         feed = "" if any("\n" in pieces[i] for i in normal) else "\n"
         return cls(kind, pieces, np.array([sp.get_score(i) for i in range(n)]), keys[order],
                    np.array(normal, np.int64)[order], at, sp.unk_id(), bool(rules.add_dummy_prefix),
-                   f"{SPACE}*[^{SPACE}{feed}]+|{SPACE}+" + (f"|{feed}" if feed else ""))
+                   f"{SPACE}*[^{SPACE}{feed}]+|{SPACE}+" + (f"|{feed}" if feed else ""), near)
 
     @property
     def longest(self) -> int:
@@ -89,13 +98,23 @@ class Vocabulary:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these hashes, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.key_ids[at], -1)
-
-
-def piece_key(piece: str) -> int:
-    codes = np.array([ord(c) for c in piece], np.uint64)
-    return int(span_keys(codes[None, :], len(piece))[0, 0, len(piece) - 1])
+        out = np.full(keys.shape, -1, np.int32)
+        maybe = np.flatnonzero(self.near[(keys >> np.uint64(64 - NEAR_BITS)).ravel()])
+        asked = keys.ravel()[maybe]
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        hit = self.keys[at] == asked
+        out.ravel()[maybe[hit]] = self.key_ids[at[hit]]
+        return out
+
+
+def piece_keys(pieces: list[str]) -> np.ndarray:
+    """The hash of each piece, all of one length together."""
+    out = np.zeros(len(pieces), np.uint64)
+    sizes = np.array([len(p) for p in pieces])
+    for n in np.unique(sizes[sizes > 0]).tolist():
+        at = np.flatnonzero(sizes == n)
+        out[at] = span_keys(codes_of([pieces[i] for i in at]), n)[:, 0, n - 1]
+    return out
 
 
 def span_keys(codes: np.ndarray, longest: int) -> np.ndarray:
@@ -107,7 +126,8 @@ def span_keys(codes: np.ndarray, longest: int) -> np.ndarray:
     acc = np.zeros((rows, n), np.uint64)
     for k in range(out.shape[2]):
         acc = acc[:, :n - k] * np.uint64(_ODD) + value[:, k:]
-        out[:, :n - k, k] = mix(acc + np.uint64(k + 1))
+        key = acc + np.uint64((k + 1) * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+        out[:, :n - k, k] = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     return out
 
 
@@ -236,6 +256,17 @@ class Encoder:
             for i in range(0, len(group), step):
                 self._segment(group[i:i + step], n)
 
+    def spans(self, codes: np.ndarray) -> np.ndarray:
+        """The piece of each substring, -1 if none; rows that are long in overlapping windows."""
+        n, longest = codes.shape[1], min(self.longest, codes.shape[1])
+        if n <= WINDOW:
+            return self.v.find(span_keys(codes, longest))
+        out = np.full((len(codes), n, longest), -1, np.int32)
+        for a in range(0, n, WINDOW):
+            ids = self.v.find(span_keys(codes[:, a:a + WINDOW + longest - 1], longest))
+            out[:, a:a + WINDOW, :ids.shape[2]] = ids[:, :WINDOW]
+        return out
+
     def starts(self, ids: np.ndarray) -> np.ndarray:
         """Where the pieces of words begin; ``ids`` as in ``viterbi``."""
         if self.v.kind == "bpe" and ids.shape[1] > LONG_WORD:
@@ -248,7 +279,7 @@ class Encoder:
         return starts
 
     def _segment(self, words: list[str], n: int) -> None:
-        ids = self.v.find(span_keys(codes_of(words), self.longest))
+        ids = self.spans(codes_of(words))
         starts = self.starts(ids)
         row, at = np.nonzero(starts)
         following = np.append(at[1:], n)
@@ -283,6 +314,17 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4") for words in cut]
 
 
+@functools.lru_cache(maxsize=4)
+def _loaded(path: str, size: int, changed: float) -> Vocabulary:
+    return Vocabulary.load(path)
+
+
+def load_once(path: str) -> Vocabulary:
+    """The vocabulary of a file, read again only if the file has changed."""
+    seen = os.stat(path)
+    return _loaded(path, seen.st_size, seen.st_mtime)
+
+
 class Decoder:
     """Texts of id arrays."""
 
@@ -311,7 +353,7 @@ def encode(docs: DataFrame, model_path: str, *, text_col: str = "text", columns:
     A NULL or empty text has no ids. Rows repeat as given; an input column
     named like ``ids_col`` is replaced. An empty table gives an empty result.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model_path)))  # one model file
+    vocabulary = docs.sparkSession.sparkContext.broadcast(vars(load_once(model_path)))  # one model file
     names = [c for c in docs.columns if c != text_col] if columns is None else list(columns)
     rows = docs.select(packed(docs.select([quoted(c) for c in names])).alias("row"),
                        quoted(text_col).cast("string").alias("text"))
@@ -340,7 +382,7 @@ def decode(rows: DataFrame, model_path: str, *, ids_col: str = "ids", columns: l
     UTF-8 become U+FFFD. Rows repeat as given; an input column named like
     ``text_col`` is replaced. An empty table gives an empty result.
     """
-    vocabulary = rows.sparkSession.sparkContext.broadcast(vars(Vocabulary.load(model_path)))  # one model file
+    vocabulary = rows.sparkSession.sparkContext.broadcast(vars(load_once(model_path)))  # one model file
     names = [c for c in rows.columns if c != ids_col] if columns is None else list(columns)
     given = rows.select(packed(rows.select([quoted(c) for c in names])).alias("row"),
                         quoted(ids_col).cast("array<int>").alias("ids"))
