@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortkit.llm.char_cnn import CharCNN, encode, recall_threshold
-from cohortkit.llm.common import packed, quoted, saved, text_chunks, unpacked
+from cohortkit.llm.common import packed, quoted, saved, text_chunks, tidy, unpacked
 
 KINDS = ("assign", "access", "hex", "model")
 # Fixed patterns and least lengths of the base rules.
@@ -54,8 +54,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Runs of key characters with a digit that touch no base span."""
     out = []
+    spans = iter(sorted((s, e) for s, _, e in taken))
+    ahead = next(spans, None)
+    reach = 0  # the end of the base spans that begin before the candidate ends
     for m in CANDIDATE.finditer(text):
-        if DIGIT.search(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in taken):
+        while ahead and ahead[0] < m.end():
+            reach = max(reach, ahead[1])
+            ahead = next(spans, None)
+        if reach <= m.start() and DIGIT.search(m.group()):
             out.append(m.span())
     return out
 
@@ -183,7 +189,7 @@ def findings(rows: DataFrame) -> DataFrame:
                      pa.array([x[2] for x in out], pa.string()),
                      pa.array([xxhash.xxh3_64_intdigest(x[1]) >> 1 for x in out], pa.int64())], schema=schema)
 
-    return rows.mapInArrow(work, "label int, context binary, value string, rank long")
+    return rows.mapInArrow(tidy(work), "label int, context binary, value string, rank long")
 
 
 def train(rows: DataFrame, *, sample: int = 2000, recall: float = 0.98, seed: int = 7) -> tuple[CharCNN, float]:
@@ -266,7 +272,7 @@ def secret_scan(docs: DataFrame, *, text_col: str = "text", columns: list[str] |
 
     schema = StructType([rows.schema["row"]]).add(StructField("spans", StringType()))
     schema["spans"].dataType = docs.sparkSession.createDataFrame([], f"spans {SPANS}").schema["spans"].dataType
-    out = rows.mapInArrow(work, schema)
+    out = rows.mapInArrow(tidy(work), schema)
     return out.select(unpacked(out, [c for c in names if c != "spans"] + ["spans"], {"spans": F.col("spans")}))
 
 
