@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ WORD = re.compile(r"[a-z]+|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas select audio video".split())
-DROPPED = frozenset("head nav footer aside form dialog menu button fieldset label".split())
+DROPPED = frozenset("head nav footer aside form dialog menu button fieldset".split())
 BLOCKS = frozenset("""address article aside blockquote body caption dd details div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section summary table tbody tfoot thead tr ul""".split())
 CELLS = frozenset(("br", "td", "th", "option"))
@@ -48,6 +49,11 @@ navigation menu menubar breadcrumb breadcrumbs sidebar complementary widget rela
 comment comments reply replies respond discussion disqus footer contentinfo toolbar pagination pager login search
 skip copyright form dialog""".split())
 HEADERS = frozenset(("header", "masthead"))
+#: Words that may stand beside one of those in a class or id without changing what it says.
+GENERIC = frozenset("""area bar block box btn button buttons container content global group inner item items left links
+list main outer page post primary right row secondary section site top bottom form wrap wrapper""".split())
+#: Of ``RAW`` those that a tag can't close itself and that hold no elements.
+SCRIPTS = frozenset("script style textarea title".split())
 
 # What makes a run boilerplate, see ``unique_blocks``.
 DEPTH = 8
@@ -77,8 +83,28 @@ def hidden(tag: str, source: str, inside: bool) -> bool:
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" \
             or "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    words = WORD.findall(" ".join((a.get("class", ""), a.get("id", ""), a.get("role", ""))).lower())
-    return any(w in HINTS or (w in HEADERS and not inside) for w in words)
+    return any(telling(name, inside) for name in " ".join((a.get("class", ""), a.get("id", ""), a.get("role", ""))).split())
+
+
+def telling(name: str, inside: bool) -> bool:
+    """Whether a class, id or role names a part that is no article text: all its words do, or are
+    generic. ``with-sidebar`` and ``search-results-article`` say something else."""
+    words = WORD.findall(name.lower())
+    marks = [w in HINTS or (w in HEADERS and not inside) for w in words]
+    return any(marks) and all(m or w in GENERIC for m, w in zip(marks, words))
+
+
+def raw_end(page: str, tag: str, at: int) -> int:
+    """Where the content of a raw element ends, those of its kind within it included; -1 without an end tag."""
+    open_tags, end = 1, -1
+    for m in re.compile(rf"<(/?){re.escape(tag)}\b[^>]*>?", re.I).finditer(page, at):
+        if m[1]:
+            open_tags, end = open_tags - 1, m.end()
+            if not open_tags or tag in SCRIPTS:
+                break
+        elif tag not in SCRIPTS and not m[0].endswith("/>"):
+            open_tags += 1
+    return end
 
 
 def blocks(page: str) -> list[Block]:
@@ -86,6 +112,10 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     gathered: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, hidden, inside main
+    opened: Counter[str] = Counter()  # open elements by tag
+    # open blocks, the innermost last: place in the stack, other elements open between it and the next by tag
+    frames: list[tuple[int, Counter[str]]] = [(-1, Counter())]
+    endless: set[str] = set()  # tags without an end tag in the rest of the page
     off = inside = False
     at = 0
 
@@ -99,8 +129,18 @@ def blocks(page: str) -> list[Block]:
         if text and not off:
             gathered.append(html.unescape(text) if "&" in text else text)
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def close(depth: int) -> None:
+        nonlocal off, inside
+        end = len(stack)
+        while frames[-1][0] >= depth:
+            end = frames.pop()[0]
+        frames[-1][1].subtract(name for name, *_ in stack[depth:end])
+        opened.subtract(name for name, *_ in stack[depth:])
+        del stack[depth:]
+        off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+
+    def last(tag: str) -> int:
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
 
     while at < len(page):
         m = TOKEN.search(page, at)
@@ -117,31 +157,37 @@ def blocks(page: str) -> list[Block]:
         elif tag in CELLS:
             gathered.append(" ")
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            # an inline end tag does not close blocks opened after it
-            if depth is not None and (tag in BLOCKS or all(x[0] not in BLOCKS for x in stack[depth + 1:])):
-                del stack[depth:]
-                off, inside = state()
+            # what is searched is closed, and no search begins without something to find; an
+            # inline end tag does not close blocks opened after it
+            if opened[tag] if tag in BLOCKS else frames[-1][1][tag]:
+                close(last(tag))
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+        empty = m[3].rstrip().endswith("/")
+        if tag in RAW and not (empty and tag not in SCRIPTS):
+            end = raw_end(page, tag, at) if tag not in endless else -1
+            if end >= 0:
+                at = end
+            elif tag in SCRIPTS:
+                at = len(page)
+            else:
+                endless.add(tag)
             continue
-        if tag in VOID or m[3].rstrip().endswith("/") and tag not in BLOCKS:
+        if tag in VOID or tag in RAW or empty and tag not in BLOCKS:
             continue
         if tag in BLOCKS or tag in ("td", "th"):
             # these end an open paragraph, an item the one before it
             until = {"li": ("li",), "tr": ("tr",), "dt": ("dt", "dd"), "dd": ("dt", "dd")}.get(tag, ())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p" or stack[i][0] in until:
-                    del stack[i:]
-                    off, inside = state()
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            block = frames[-1][0]
+            if block >= 0 and (stack[block][0] == "p" or stack[block][0] in until):
+                close(block)
         within = inside or tag in MAIN
+        if tag in BLOCKS:
+            frames.append((len(stack), Counter()))
+        else:
+            frames[-1][1][tag] += 1
+        opened[tag] += 1
         stack.append((tag, off or hidden(tag, m[3], inside), within and not off))
-        off, inside = state()
+        off, inside = stack[-1][1], stack[-1][2]
     flush()
     return out
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import WHITE, packed, quoted, saved, to_batch, unpacked
+from cohortkit.llm.common import packed, quoted, saved, tidy, to_batch, unpacked, WHITE
 
 SEGMENT = 1 << 16  # bytes of a filter that travel together
 
@@ -105,7 +105,7 @@ def twice_seen(texts: DataFrame, min_chars: int, bits: int, hashes: int) -> byte
                 yield to_batch({"segment": [i], "once": [b""], "twice": [twice.tobytes()]}, schema)
 
     ddl = "segment int, once binary, twice binary"
-    parts = texts.mapInArrow(build, ddl).repartition("segment").mapInArrow(combine, ddl)
+    parts = texts.mapInArrow(tidy(build), ddl).repartition("segment").mapInArrow(tidy(combine), ddl)
     whole = bytearray(bits // 8)
     for r in parts.select("segment", "twice").collect():  # bits / 8 bytes at most
         whole[r["segment"] * segment:(r["segment"] + 1) * segment] = r["twice"]
@@ -160,7 +160,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                  pa.array([keys[i].decode() for i in at], pa.string())], names=["id", "key"])
 
     ddl = f"id {id_type.simpleString()}, key string"
-    found = saved(rows.select("id", "text").mapInArrow(suspects, ddl), "line-suspects")
+    found = saved(rows.select("id", "text").mapInArrow(tidy(suspects), ddl), "line-suspects")
     # by key and document first: a key of very many documents is spread, and repeated rows count once
     pairs = found.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"))
     confirmed = (pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
@@ -200,7 +200,7 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
                 [batch.column(0), pa.array(out, pa.string()), pa.array(n_lines, pa.int64()),
                  pa.array(n_dropped, pa.int64())], names=["row", "kept", "n_lines", "n_dropped"])
 
-    result = joined.mapInArrow(apply, _row_schema(joined))
+    result = joined.mapInArrow(tidy(apply), _row_schema(joined))
     given = {text_col: F.col("kept"), "n_lines": F.col("n_lines"), "n_dropped": F.col("n_dropped")}
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
     return result.select(unpacked(result, columns, given))

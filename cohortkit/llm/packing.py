@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StructField, StructType)
 
-from cohortkit.llm.common import packed, quoted, unpacked
+from cohortkit.llm.common import packed, quoted, tidy, unpacked
 
 #: Separators that ``str.split`` knows and the tokenizers' ``\s`` does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -156,7 +156,8 @@ def pack_lengths(lengths: list[int], size: int, linear: float, quadratic: float)
 
 def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
          columns: list[str] | None = None, size: int = 2048, end_id: int = 1, linear: float = 1.0,
-         quadratic: float = 1.0 / 2048, shard_docs: int = 4096) -> DataFrame:
+         quadratic: float = 1.0 / 2048, shard_docs: int = 4096,
+         shard_bytes: int = 1 << 23) -> DataFrame:
     """Sequences of at most ``size`` tokens from all documents, without padding.
 
     A document is its text's ids by the tokenizer file, then ``end_id``. One
@@ -169,15 +170,17 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     The tokenizer must drop white space and encode words apart from each
     other. A NULL or empty text is the end id alone. Rows with the same id
     are packed each for itself. A shard holds about ``shard_docs`` documents'
-    last blocks; longer documents' full blocks go to many shards. An empty
-    table gives an empty result.
+    last blocks and ``shard_bytes`` of text, whichever needs more shards: a
+    token has a byte at least, so a shard's tokens are bounded however long
+    the documents are. An empty table gives an empty result.
     """
     if size & (size - 1):
         raise ValueError("size must be a power of two")
     names = [c for c in docs.columns if c != text_col] if columns is None else list(columns)
     rows = docs.select(packed(docs.select([quoted(c) for c in names])).alias("row"),
                        F.xxhash64(quoted(id_col)).alias("key"), quoted(text_col).cast("string").alias("text"))
-    shards = max(1, -(-docs.count() // shard_docs))
+    n_docs, n_bytes = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = max(1, -(-n_docs // shard_docs), -(-n_bytes // shard_bytes))
     kept = rows.schema["row"]
 
     def tokens(batches):
@@ -209,7 +212,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_c
     def long(name: str) -> StructField:
         return StructField(name, LongType())
 
-    cut = rows.mapInArrow(tokens, StructType([kept, StructField("shard", IntegerType()), long("key"),
+    cut = rows.mapInArrow(tidy(tokens), StructType([kept, StructField("shard", IntegerType()), long("key"),
                                               long("start"), long("length"), long("doc_tokens"), StructField("ids", BinaryType())]))
 
     def place(group: pa.Table) -> pa.Table:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import WHITE, packed, quoted, row_count, saved, text_chunks, unpacked
+from cohortkit.llm.common import packed, quoted, row_count, saved, text_chunks, tidy, unpacked, WHITE
 from cohortkit.llm.words import is_space, mix, windows, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
@@ -202,7 +202,7 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     schema = base.select("row", "lang", "source").schema
     for field in base.sparkSession.createDataFrame([], ddl + ", x array<double>").schema:
         schema.add(field)
-    rows = base.mapInArrow(work, schema)
+    rows = base.mapInArrow(tidy(work), schema)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = saved(rows.withColumn("base_failed", failed), "quality-measures")
     scored = rows.where(~F.col("base_failed")).select("lang", "source", "x")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from cohortkit.llm.html_text import Block, article_blocks, blocks, main_text, pages_with, ranks, unique_blocks
 
@@ -96,3 +97,28 @@ def test_results_do_not_depend_on_shards(spark):
     left = "\n".join(whole.values())
     assert [notice(k) in left for k in range(6)] == [True, False, False, False, False, False]
     assert sum(notice(0) in x for x in whole.values()) == 67
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>First.</p><svg width="1"/><p>Second.</p></article>', ["First.", "Second."]),
+    ('<article><p>First.</p><iframe src="x"/><p>Second.</p></article>', ["First.", "Second."]),
+    ("<article><p>First.</p><svg><p>Second.</p></article>", ["First.", "Second."]),
+    ("<article><p>First.</p><svg><svg>in</svg>out</svg><p>Second.</p></article>", ["First.", "Second."]),
+    ("<article><p>How a <label>field</label> works</p></article>", ["How a field works"]),
+    ('<div class="content with-sidebar"><p>Text.</p></div>', ["Text."]),
+    ('<div class="post no-comments"><p>Text.</p></div>', ["Text."]),
+    ('<div id="search-results-article"><p>Text.</p></div>', ["Text."]),
+    ('<div class="site-sidebar"><p>Links.</p></div><p>Text.</p>', ["Text."]),
+    ('<div class="x comment-list"><p>Me too.</p></div><p>Text.</p>', ["Text."]),
+    ("<div><b>a<div>b</b>c</div></div>", ["a", "bc"]),
+])
+def test_markup_that_misled(page, text):
+    assert [b.text for b in article_blocks(page)] == text
+
+
+@pytest.mark.parametrize("part", ["<b>", "<b></i>", "<svg>", "<div><b></i>", "<p><b>", "<b><p></p>", "</div>", "<li><i>"])
+def test_odd_markup_takes_linear_time(part):
+    import time
+    start = time.perf_counter()
+    article_blocks("<i>" + part * 60_000 + "end")
+    assert time.perf_counter() - start < 10

@@ -8,6 +8,8 @@ from tokenizers import Tokenizer
 
 from cohortkit.llm.packing import WordIds, encode_texts, pack, pack_lengths, sequence_sizes
 
+from llm_fixtures import make_docs  # noqa: F401
+
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -81,3 +83,11 @@ def test_pack(spark):
         assert total == parts[0]["sequence_tokens"] <= 256 and total & (total - 1) == 0
         assert [r["offset"] for r in parts] == np.cumsum([0] + [r["length"] for r in parts[:-1]]).tolist()
     assert pack(df.limit(0), PATH).count() == 0
+
+
+def test_few_long_documents_are_spread(spark, make_docs):
+    rows = [(i, " ".join(["word"] * 40_000)) for i in range(6)]
+    out = pack(make_docs(rows), public_tokenizers.path("word_bpe_49k.json"), shard_bytes=1 << 18)
+    shards = [r[0] for r in out.select((F.col("sequence_id") / (1 << 32)).cast("long")).distinct().collect()]
+    assert len(shards) >= 4
+    assert out.agg(F.sum("length")).first()[0] == out.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]

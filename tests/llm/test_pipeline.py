@@ -8,6 +8,8 @@ from test_ngram_join import brute as components_of
 from test_quality_rules import brute as measures_of
 from test_secrets import brute as secrets_of
 
+from llm_fixtures import make_docs  # noqa: F401
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string"
 
 
@@ -84,3 +86,20 @@ def test_run(spark):
 
     out = cp.run(spark, SF_SMALL)
     assert out.count() > 0 and out.columns[0] == "doc_id"
+
+
+def test_repeated_ids_with_other_texts_stay(spark, make_docs):
+    from corpus_pipeline import drop_near_duplicates
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, one), (1, two), (1, one + " more"), (2, two), (None, three), (None, three), (None, one), (3, ""), (3, None)]
+    left = drop_near_duplicates(spark, make_docs(rows), "").collect()
+    assert sorted(((r["doc_id"] or 0), r["text"] or "") for r in left) == sorted(
+        [(1, one), (1, two), (0, three), (0, three), (0, one), (3, ""), (3, "")])
+
+
+def test_a_stage_called_twice_keeps_its_first_result(spark, make_docs):
+    from corpus_pipeline import drop_near_duplicates
+    docs = make_docs([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(5)])
+    first = drop_near_duplicates(spark, docs, "")
+    second = drop_near_duplicates(spark, docs, "")
+    assert first.count() == second.count() == 5
