@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import quoted, saved, table
+from cohortkit.llm.common import packed, quoted, saved, table
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
@@ -29,18 +29,25 @@ from cohortkit.session import drop_scratch, scratch_paths
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-_done: list[str] = []
+_made: dict[str, list[str]] = {}  # stage -> paths its calls have written and not dropped
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    left = set(scratch_paths())
+    drop_scratch(spark, [p for p in paths if p in left])
 
 
 def _stage(work):
-    """A stage's intermediate files go when the next stage begins: by then its result is written."""
+    """A stage's intermediate files go when a later stage of the list begins: what that one
+    reads has been written by then. Other calls of the same stage keep theirs."""
     @functools.wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_scratch(spark, [p for p in _done if p in scratch_paths()])
-        _done.clear()
+        order = [stage.__name__ for _, stage in STAGES]
+        for earlier in order[:order.index(work.__name__)]:
+            _drop(spark, _made.pop(earlier, []))
         before = set(scratch_paths())
         out = work(spark, docs, sf_dir)
-        _done.extend(p for p in scratch_paths() if p not in before)
+        _made.setdefault(work.__name__, []).extend(p for p in scratch_paths() if p not in before)
         return out
     return run_stage
 
@@ -68,14 +75,19 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays; rows that
-    repeat an id are reduced to one, rows without an id all stay."""
-    groups = saved(near_duplicates(docs), "near-duplicates").withColumnRenamed("doc_id", "node")
-    gone = groups.where(F.col("component_id") != F.col("node")).select("node").distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("node"), "left_anti")
-    if groups.where("node IS NOT NULL").groupBy("node").count().where("count > 1").head(1):
-        left = left.where("doc_id IS NULL").unionByName(left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    return left
+    """Of each group of near duplicates the row with the smallest (id, position) stays, and
+    every row that links with none. Rows are told apart by a written position, so rows that
+    repeat an id go only if their texts are near duplicates of a row that stays. Rows without
+    an id take no part and all stay."""
+    rows = saved(docs.select(packed(docs).alias("row"), quoted("doc_id").alias("id"), quoted("text").alias("text"),
+                             F.monotonically_increasing_id().alias("position")), "numbered-documents")
+    known = rows.where("id IS NOT NULL")
+    groups = near_duplicates(known.select("position", "text"), id_col="position")
+    # one small row per document: its group, its id; groups combine before they shuffle
+    firsts = (groups.join(known.select("position", "id"), "position").groupBy("component_id")
+              .agg(F.min(F.struct("id", "position")).alias("first")).select(F.col("first.position").alias("kept")))
+    left = known.join(firsts, F.col("position") == F.col("kept"), "left_semi").unionByName(rows.where("id IS NULL"))
+    return left.select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 @_stage
@@ -104,7 +116,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of all documents that the stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        before = set(scratch_paths())
+        docs = saved(out, f"pipeline-{name}")
+        path = [p for p in scratch_paths() if p not in before]
+        # the stage's result is written: its own files and its input go
+        _drop(spark, _made.pop(stage.__name__, []) + (written or []))
+        written = path
     return STAGES[-1][1](spark, docs, sf_dir)
