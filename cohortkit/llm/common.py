@@ -16,7 +16,7 @@ from cohortkit.session import scratch_path
 WHITE = b" \t\n\x0b\x0c\r"
 
 #: Bytes of text worked on at once inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
