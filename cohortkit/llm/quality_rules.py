@@ -2,11 +2,13 @@
 
 Each document becomes a short vector of transformed text statistics. Per
 language and source a minimum-covariance-determinant estimate of centre and
-scatter is found by concentration steps: order the rows by Mahalanobis
-distance, re-estimate from the closest three quarters, repeat. A step is one
-aggregation over all rows into a histogram of distances that carries the
-first and second moments of each bin, so no group is ever gathered; only
-its bins (a fixed number) meet in one task.
+scatter is found from several deterministic starts by concentration steps:
+order the rows by Mahalanobis distance, re-estimate from the closest half,
+repeat until the determinant settles. The start with the least determinant
+wins and is re-estimated once from all rows that are not far from it. A step
+is one aggregation over all rows, for all starts together, into histograms
+of distances that carry the first and second moments of each bin, so no group
+is ever gathered; only its bins (a fixed number) meet in one task.
 """
 
 from __future__ import annotations
@@ -110,75 +112,204 @@ def distance() -> Column:
 
 
 def histogram(rows: DataFrame) -> DataFrame:
-    """Per pool and distance bin: count, sums and sums of products of ``x``."""
+    """Per pool, start and distance bin: count, sums and sums of products of ``x``."""
     place = F.floor(F.log2(F.greatest(distance(), F.lit(1e-9))) * BINS_PER_OCTAVE).cast("int")
     bins = rows.withColumn("bin", F.greatest(F.lit(LOW_BIN), F.least(F.lit(HIGH_BIN), place)))
     sums = [F.sum(F.col("x")[i]) for i in range(DIM)]
-    products = [F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(DIM) for j in range(i, DIM)]
-    return bins.groupBy("pool", "bin").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*sums).alias("sums"), F.array(*products).alias("products"))
+    return bins.groupBy("pool", "start", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*sums).alias("sums"), products([F.col("x")[i] for i in range(DIM)]))
+
+
+def products(x: list[Column]) -> Column:
+    """Sums of the products of every two of ``x``, the upper triangle row by row."""
+    return F.array(*[F.sum(x[i] * x[j]) for i in range(DIM) for j in range(i, DIM)]).alias("products")
+
+
+def square(upper: np.ndarray) -> np.ndarray:
+    """The symmetric matrix of an upper triangle."""
+    out = np.empty((DIM, DIM))
+    out[np.triu_indices(DIM)] = upper
+    return np.triu(out) + np.triu(out, 1).T
+
+
+def moments(bins: pd.DataFrame, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and floored scatter of the rows of all bins, each bin by its weight."""
+    count = (weight * bins["n"].to_numpy()).sum()
+    mu = weight @ np.vstack(bins["sums"]) / count
+    cov = square(weight @ np.vstack(bins["products"]) / count) - np.outer(mu, mu)
+    return mu, cov + np.diag(np.square(FLOORS))
+
+
+def closest(n: np.ndarray, rows: float) -> np.ndarray:
+    """Weights of bins, in order, that take exactly ``rows`` rows; the last bin counts in part."""
+    return np.clip((rows - (np.cumsum(n) - n)) / n, 0.0, 1.0)
+
+
+def median_distance(bins: pd.DataFrame) -> float:
+    n = bins["n"].to_numpy()
+    weight = closest(n, 0.5 * n.sum())
+    half = max(int(np.count_nonzero(weight)) - 1, 0)
+    return float(2.0 ** ((bins["bin"].iloc[half] + weight[half]) / BINS_PER_OCTAVE))
 
 
 def concentrate(share: float):
-    """A function for one pool's bins: centre and inverse scatter of its closest rows,
-    and the median of the distances just measured."""
+    """A function for the bins of one pool and start: centre, inverse scatter and log
+    determinant of the closest ``share`` of its rows."""
     def work(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         bins = bins.sort_values("bin")
         n = bins["n"].to_numpy()
-        total = n.cumsum()
-        upto = int(np.searchsorted(total, share * total[-1])) + 1
-        half = int(np.searchsorted(total, 0.5 * total[-1]))
-        inside = (0.5 * total[-1] - (total[half] - n[half])) / n[half]
-        median = 2.0 ** ((bins["bin"].iloc[half] + inside) / BINS_PER_OCTAVE)
-        count = total[upto - 1]
-        mu = np.vstack(bins["sums"].iloc[:upto]).sum(axis=0) / count
-        products = np.vstack(bins["products"].iloc[:upto]).sum(axis=0) / count
-        cov = np.empty((DIM, DIM))
-        cov[np.triu_indices(DIM)] = products
-        cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(mu, mu)
-        cov += np.diag(np.square(FLOORS))
-        return pd.DataFrame({"pool": [key[0]], "mu": [mu.tolist()], "inv": [np.linalg.inv(cov).ravel().tolist()],
-                             "median": [float(median)]})
+        mu, cov = moments(bins, closest(n, share * n.sum()))
+        return pd.DataFrame({"pool": [key[0]], "start": [key[1]], "mu": [mu.tolist()],
+                             "inv": [np.linalg.inv(cov).ravel().tolist()], "logdet": [np.linalg.slogdet(cov)[1]]})
     return work
 
 
-def pools(scored: DataFrame, min_rows: int) -> DataFrame:
-    """Language and source to the pool their rows are judged in: their own, or that of
-    all small groups of the language, or that of all small languages; NULL if too few."""
+def reweigh(quantile: float):
+    """As ``concentrate``, from all rows under this chi-squared quantile once the median
+    distance is scaled to the chi-squared median; and that scale."""
+    def work(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
+        bins = bins.sort_values("bin")
+        scale = median_distance(bins) / chi2_quantile(0.5)
+        cut = np.log2(scale * chi2_quantile(quantile)) * BINS_PER_OCTAVE
+        mu, cov = moments(bins, np.clip(cut - bins["bin"].to_numpy(), 0.0, 1.0))
+        return pd.DataFrame({"pool": [key[0]], "start": [key[1]], "mu": [mu.tolist()],
+                             "inv": [np.linalg.inv(cov).ravel().tolist()], "scale": [scale]})
+    return work
+
+
+def shortest_half(q: np.ndarray) -> tuple[float, float]:
+    """Middle and width of the shortest interval with half of the rows, from equally spaced quantiles."""
+    half = len(q) // 2
+    width = q[half:] - q[:len(q) - half]
+    k = int(width.argmin())
+    return (q[k] + q[k + half]) / 2, float(width[k])
+
+
+def starts(pooled: DataFrame) -> DataFrame:
+    """Four deterministic starts for each pool (pool, start, mu, inv, logdet, settled).
+
+    0: medians, spreads from quartiles. 1: middles and widths of each statistic's shortest
+    half, which other rows cannot move while they are fewer than half. 2, 3: around
+    these, the correlations of hyperbolic tangents and of spatial signs.
+    """
+    steps = 40
+    quantiles = F.array(*[F.lit(k / steps) for k in range(steps + 1)])
+    marks = saved(pooled.groupBy("pool").agg(F.array(*[
+        F.percentile_approx(F.col("x")[i], quantiles, 1000) for i in range(DIM)]).alias("q")), "quality-quantiles")
+
+    def both(frames):
+        for frame in frames:
+            out = []
+            for pool, q in zip(frame["pool"], frame["q"]):
+                q = np.vstack(q)
+                halves = np.array([shortest_half(row) for row in q])
+                for start, mid, width in ((0, q[:, steps // 2], q[:, 3 * steps // 4] - q[:, steps // 4]),
+                                          (1, halves[:, 0], halves[:, 1])):
+                    out.append((pool, start, mid.tolist(), np.maximum(width / 1.349, FLOORS).tolist()))
+            yield pd.DataFrame(out, columns=["pool", "start", "mu", "spread"])
+
+    plain = saved(marks.mapInPandas(both, "pool string, start int, mu array<double>, spread array<double>"),
+                  "quality-starts")
+    halves = plain.where("start = 1")
+    z = [(F.col("x")[i] - F.col("mu")[i]) / F.col("spread")[i] for i in range(DIM)]
+    scaled = pooled.join(halves, "pool").select("pool", F.array(*z).alias("z"))
+    norm = F.sqrt(F.aggregate("z", F.lit(1e-12), lambda a, v: a + v * v))
+    bent = {2: [F.tanh(F.col("z")[i]) for i in range(DIM)], 3: [F.col("z")[i] / F.col("norm") for i in range(DIM)]}
+    sums = scaled.withColumn("norm", norm).groupBy("pool").agg(
+        *[products(x).alias(f"products_{start}") for start, x in bent.items()])
+    names = tuple(bent)
+    told = sums.join(halves, "pool").select("pool", "mu", "spread", *[f"products_{k}" for k in names])
+
+    def shaped(frames):
+        for frame in frames:
+            out = []
+            for pool, mu, spread, *found in frame.itertuples(index=False):
+                for start, upper in zip(names, found):
+                    cross = square(np.asarray(upper)) + 1e-9 * np.eye(DIM)
+                    side = np.asarray(spread) / np.sqrt(np.diag(cross))
+                    cov = cross * np.outer(side, side) + np.diag(np.square(FLOORS))
+                    out.append((pool, start, list(mu), np.linalg.inv(cov).ravel().tolist()))
+            yield pd.DataFrame(out, columns=["pool", "start", "mu", "inv"])
+
+    diagonal = [1 / (F.col("spread")[i] * F.col("spread")[i]) if i == j else F.lit(0.0)
+                for i in range(DIM) for j in range(DIM)]
+    made = plain.select("pool", "start", "mu", F.array(*diagonal).alias("inv")).unionByName(
+        told.mapInPandas(shaped, "pool string, start int, mu array<double>, inv array<double>"))
+    return saved(made.select("*", F.lit(float("inf")).alias("logdet"), F.lit(False).alias("settled")), "quality-fit")
+
+
+def least_determinant(pooled: DataFrame, share: float, max_steps: int, tolerance: float) -> DataFrame:
+    """Per pool the fit (pool, start, mu, inv) of least determinant, over all starts.
+
+    With the floors added to the scatter a step still never raises the determinant (its
+    logarithm is concave); a start is left alone once a step lowers it by less than
+    ``tolerance``.
+    """
+    fit = starts(pooled)
+    for _ in range(max_steps):
+        moving = fit.where(~F.col("settled"))
+        bins = histogram(pooled.join(moving, "pool"))
+        new = bins.groupBy("pool", "start").applyInPandas(
+            concentrate(share), "pool string, start int, mu array<double>, inv array<double>, logdet double")
+        new = new.select("pool", "start", F.struct("mu", "inv", "logdet").alias("new"))
+        lower = F.col("new.logdet") < F.col("logdet")
+        moved = moving.join(new, ["pool", "start"]).select(
+            "pool", "start", *[F.when(lower, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in ("mu", "inv", "logdet")],
+            (F.col("logdet") - F.col("new.logdet") < tolerance).alias("settled"))
+        fit = saved(fit.where("settled").unionByName(moved), "quality-fit")
+        if fit.where(~F.col("settled")).isEmpty():
+            break
+    best = fit.groupBy("pool").agg(F.min_by(F.struct("start", "mu", "inv"), F.struct("logdet", "start")).alias("best"))
+    return best.select("pool", "best.*")
+
+
+def pools(scored: DataFrame, min_rows: int) -> tuple[DataFrame, DataFrame]:
+    """For each language and source the pools its rows help to estimate, and the one they are
+    judged in: their own group; if that is small all rows of the language; if that is
+    small all rows; none if there are too few in all."""
     groups = scored.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = groups.where(F.col("n") < min_rows)
-    by_lang = small.groupBy("lang").agg(F.sum("n").alias("lang_n")).withColumnRenamed("lang", "small_lang")
-    rest = by_lang.where(F.col("lang_n") < min_rows).agg(F.sum("lang_n")).first()[0] or 0
+    langs = (groups.groupBy("lang").agg(F.sum("n").alias("lang_n"), F.min("n").alias("least_n"))
+             .withColumnRenamed("lang", "of_lang"))
+    total, least_lang = langs.agg(F.coalesce(F.sum("lang_n"), F.lit(0)), F.min("lang_n")).first()
     none = F.lit(None).cast("string")
 
     def pool(level: int, lang: Column, source: Column) -> Column:
         return F.to_json(F.struct(F.lit(level).alias("level"), lang.alias("lang"), source.alias("source")))
 
-    return (groups.join(by_lang, F.col("lang").eqNullSafe(F.col("small_lang")), "left")
-            .select("lang", "source",
-                    F.when(F.col("n") >= min_rows, pool(0, F.col("lang"), F.col("source")))
-                    .when(F.col("lang_n") >= min_rows, pool(1, F.col("lang"), none))
-                    .when(F.lit(rest >= min_rows), pool(2, none, none)).alias("pool")))
+    own, lang, every = pool(0, F.col("lang"), F.col("source")), pool(1, F.col("lang"), none), pool(2, none, none)
+    enough = F.lit(total >= min_rows)
+    told = groups.join(langs, F.col("lang").eqNullSafe(F.col("of_lang"))).select(
+        F.col("lang").alias("pool_lang"), F.col("source").alias("pool_source"),
+        F.when(F.col("n") >= min_rows, own).when(F.col("lang_n") >= min_rows, lang).when(enough, every).alias("pool"),
+        F.array_compact(F.array(
+            F.when(F.col("n") >= min_rows, own),
+            F.when((F.col("lang_n") >= min_rows) & (F.col("least_n") < min_rows), lang),
+            F.when(enough & F.lit(least_lang is not None and least_lang < min_rows), every))).alias("helps"))
+    told = saved(told, "quality-pools")
+    return (told.select("pool_lang", "pool_source", F.explode("helps").alias("pool")),
+            told.where("pool IS NOT NULL").select("pool_lang", "pool_source", "pool"))
 
 
 def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   source_col: str = "source", columns: list[str] | None = None, min_words: int = 10,
-                  max_repeat_percent: int = 20, subset: float = 0.75, steps: int = 5, min_rows: int = 100,
-                  max_distance: float = 120.0) -> DataFrame:
+                  max_repeat_percent: int = 20, subset: float = 0.5, max_steps: int = 40,
+                  tolerance: float = 1e-3, min_rows: int = 100, max_distance: float = 120.0) -> DataFrame:
     """Measures of every document and whether it is kept.
 
     Returns ``columns`` (default: all of the input's) and ``n_words``,
     ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
-    ``distance`` (squared, scaled; NULL where no pool was large enough),
+    ``distance`` (squared, scaled; NULL in a table with too few rows),
     ``base_failed`` and ``kept``; input columns of these names are replaced.
     A document fails the base rules with fewer than ``min_words`` words or
     more than ``max_repeat_percent`` of them in repeated five-word windows;
     of the others, those whose squared distance from their group's centre is
     over ``max_distance`` are rejected. Distances are scaled so that their
     median in a group is the chi-squared median; the limit is far in the tail
-    because the statistics of good text are not normal. Groups with fewer
-    than ``min_rows`` such documents are pooled by language, then together;
-    with fewer still the base rules alone decide.
+    because the statistics of good text are not normal. A group with fewer
+    than ``min_rows`` such documents is judged by the estimate for all rows of
+    its language, and a language with fewer by the estimate for all rows; if
+    these are fewer, the base rules alone decide. An estimate withstands junk
+    in just under half of its rows (``1 - subset``).
 
     A NULL text has no words. NULL languages or sources are groups of their
     own. Rows repeat as given. An empty table gives an empty result.
@@ -206,27 +337,15 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = saved(rows.withColumn("base_failed", failed), "quality-measures")
     scored = rows.where(~F.col("base_failed")).select("lang", "source", "x")
-    pool_of = saved(pools(scored, min_rows), "quality-pools").where(F.col("pool").isNotNull())
-    pool_of = pool_of.select(F.col("lang").alias("pool_lang"), F.col("source").alias("pool_source"), "pool")
+    helps, judge = pools(scored, min_rows)
     match = F.col("lang").eqNullSafe(F.col("pool_lang")) & F.col("source").eqNullSafe(F.col("pool_source"))
-
-    # start: quartiles of each statistic
-    quartiles = [F.percentile_approx(F.col("x")[i], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}")
-                 for i in range(DIM)]
-    start = scored.join(pool_of, match).groupBy("pool").agg(*quartiles)
-    spread = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])) for i in range(DIM)]
-    diagonal = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(DIM) for j in range(DIM)]
-    fit = saved(start.select("pool", F.array(*[F.col(f"q{i}")[1] for i in range(DIM)]).alias("mu"),
-                             F.array(*diagonal).alias("inv"), F.lit(1.0).alias("median")), "quality-fit")
-    kind = fit.schema
-    for _ in range(steps):
-        bins = histogram(scored.join(pool_of.join(fit, "pool"), match))
-        fit = saved(bins.groupBy("pool").applyInPandas(concentrate(subset), kind), "quality-fit")
-    # the scale: the median distance is the chi-squared median
-    bins = histogram(scored.join(pool_of.join(fit, "pool"), match))
-    scale = (bins.groupBy("pool").applyInPandas(concentrate(subset), kind)
-             .select("pool", (F.col("median") / chi2_quantile(0.5)).alias("scale")))
-    judged = saved(pool_of.join(fit.drop("median"), "pool").join(scale, "pool")
+    pooled = scored.join(helps, match).select("pool", "x")
+    fit = saved(least_determinant(pooled, subset, max_steps, tolerance), "quality-fit")
+    kind = "pool string, start int, mu array<double>, inv array<double>, scale double"
+    for _ in range(2):  # all rows that are not far; then the scale of what came out
+        bins = histogram(pooled.join(fit.select("pool", "start", "mu", "inv"), "pool"))
+        last, fit = fit, saved(bins.groupBy("pool", "start").applyInPandas(reweigh(0.975), kind), "quality-fit")
+    judged = saved(judge.join(last.drop("scale"), "pool").join(fit.select("pool", "scale"), "pool")
                    .select("pool_lang", "pool_source", "mu", "inv", "scale"), "quality-fit")
     out = rows.join(judged, match & ~F.col("base_failed"), "left").withColumn("distance", distance() / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= max_distance, F.lit(True))

@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from cohortkit.llm.quality_rules import FLOORS, chi2_quantile, measure, quality_rules
+from cohortkit.llm.quality_rules import (
+    chi2_quantile, closest, concentrate, DIM, FLOORS, least_determinant, measure, quality_rules, shortest_half)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -83,24 +85,99 @@ def test_few_rows_and_empty_table(spark):
     assert quality_rules(df.limit(0)).count() == 0
 
 
-def test_estimate_agrees_with_a_direct_one(spark):
-    """Distances against concentration steps on the vectors themselves."""
+def vectors(texts):
+    return np.vstack([measure(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))["x"] for t in texts])
+
+
+def direct(x, seed, tries=60):
+    """Distances by the textbook: concentration from random small subsets, least determinant, one reweighting."""
+    r, floor, best = np.random.default_rng(seed), np.diag(np.square(FLOORS)), None
+
+    def fit(rows):
+        return rows.mean(axis=0), np.cov(rows.T, bias=True) + floor
+
+    def distances(mu, cov):
+        return np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
+
+    for _ in range(tries):
+        mu, cov = fit(x[r.choice(len(x), 8, replace=False)])
+        for _ in range(60):
+            mu, cov = fit(x[np.argsort(distances(mu, cov))[:len(x) // 2]])
+        if best is None or np.linalg.slogdet(cov)[1] < best[0]:
+            best = np.linalg.slogdet(cov)[1], mu, cov
+    d = distances(*best[1:])
+    d = distances(*fit(x[d <= np.median(d) / chi2_quantile(0.5) * chi2_quantile(0.975)]))
+    return best[0], d * chi2_quantile(0.5) / np.median(d)
+
+
+@pytest.mark.parametrize("junk", [0.0, 0.4])
+def test_estimate_agrees_with_a_direct_one(spark, junk):
+    """The least determinant and the distances against a direct estimate on the vectors, also
+    where two fifths of a source are junk: that goes, prose stays."""
     r = random.Random(5)
-    rows = [(i, prose(r, r.randint(40, 120)), "en", "s", 0) for i in range(600)]
+    rows, bad = [], set()
+    for i in range(600):
+        text = prose(r, r.randint(40, 120))
+        if r.random() < junk:
+            bad.add(i)
+            text = " ".join(w + r.choice(["$$$", "%%%", "|"]) for w in text.upper().split())
+        rows.append((i, text, "en", "s", 0))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    got = {x["doc_id"]: x["distance"] for x in quality_rules(df, columns=["doc_id"]).collect()}
-    x = np.vstack([measure(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))["x"] for _, t, *_ in rows])
-    q = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
-    mu, cov = q[1], np.diag(np.maximum((q[2] - q[0]) / 1.349, FLOORS) ** 2)
-    for _ in range(5):
-        d = np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
-        near = x[d <= np.quantile(d, 0.75)]
-        mu, cov = near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(np.square(FLOORS))
-    d = np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
-    d *= chi2_quantile(0.5) / np.median(d)
-    mine = np.array([got[i] for i in range(600)])
-    assert np.corrcoef(d, mine)[0, 1] > 0.999
-    assert np.median(mine) == pytest.approx(np.median(d), rel=0.1)
+    got = {x["doc_id"]: x for x in quality_rules(df, columns=["doc_id"]).collect()}
+    assert not any(x["base_failed"] for x in got.values())
+    x = vectors([t for _, t, *_ in rows])
+    logdet, d = direct(x, 1)
+    pooled = spark.createDataFrame([("p", v.tolist()) for v in x], "pool string, x array<double>")
+    best = least_determinant(pooled, 0.5, 40, 1e-3).collect()
+    assert len(best) == 1
+    mine = np.linalg.slogdet(np.array(best[0]["inv"]).reshape(DIM, DIM))[1]
+    assert -mine == pytest.approx(logdet, abs=0.15)
+    mine = np.array([got[i]["distance"] for i in range(600)])
+    good = np.array([i not in bad for i in range(600)])
+    assert np.corrcoef(np.log(d[good]), np.log(mine[good]))[0, 1] > 0.98
+    assert np.median(mine[good]) == pytest.approx(np.median(d[good]), rel=0.15)
+    assert {i for i in got if not got[i]["kept"]} == bad
+
+
+def test_a_step_never_raises_the_determinant():
+    """From any start, also with rows that tie."""
+    r = np.random.default_rng(3)
+    x = np.vstack([r.normal(size=(300, DIM)) * 0.2, np.repeat(r.normal(size=(20, DIM)), 10, axis=0)])
+    for seed in range(5):
+        pick = np.random.default_rng(seed).choice(len(x), 12)
+        mu, cov, last = x[pick].mean(axis=0), np.cov(x[pick].T) + np.diag(np.square(FLOORS)), np.inf
+        for _ in range(12):
+            d = np.einsum("ij,jk,ik->i", x - mu, np.linalg.inv(cov), x - mu)
+            place = np.floor(np.log2(np.maximum(d, 1e-9)) * 16).astype(int)
+            bins = pd.DataFrame([{"bin": b, "n": int((place == b).sum()), "sums": x[place == b].sum(axis=0),
+                                  "products": (x[place == b].T @ x[place == b])[np.triu_indices(DIM)]}
+                                 for b in sorted(set(place))])
+            out = concentrate(0.5)(("p", 0), bins).iloc[0]
+            # within a bin rows count alike, so equal up to the width of one bin
+            assert out["logdet"] <= last + 0.05
+            mu, cov, last = np.array(out["mu"]), np.linalg.inv(np.array(out["inv"]).reshape(DIM, DIM)), out["logdet"]
+
+
+def test_closest_takes_exactly_so_many_rows():
+    n = np.array([3, 1, 4, 2])
+    assert closest(n, 5).tolist() == [1, 1, 0.25, 0] and closest(n, 10).tolist() == [1, 1, 1, 1]
+    assert (closest(n, 0.5) * n).sum() == 0.5
+    assert shortest_half(np.array([0.0, 1.0, 5.0, 5.1, 5.2])) == (5.1, pytest.approx(0.2))
+
+
+@pytest.mark.parametrize("size", [99, 101])
+def test_small_sources_are_judged_too(spark, size):
+    """A source below or above ``min_rows``, in a language below it or not: every row that passes
+    the base rules has a distance, and junk goes."""
+    r = random.Random(size)
+    rows = [(i, prose(r, 60), "en", "large", None) for i in range(300)]
+    rows += [(1000 + i, prose(r, 60), r.choice(["en", "xx"]), "small", None) for i in range(size)]
+    rows += [(5000 + i, " ".join(w + "$$$" for w in prose(r, 60).upper().split()), "xx", "small", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x["doc_id"]: x for x in quality_rules(df, columns=["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    assert {i for i, x in got.items() if x["distance"] is None} == {i for i, t, *_ in rows if brute(t)[4] * 5 > brute(t)[0]}
+    assert {i for i, x in got.items() if not x["kept"]} == {5000 + i for i in range(5)}
 
 
 def test_chi2_quantile():
