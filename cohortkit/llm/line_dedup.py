@@ -112,9 +112,30 @@ def twice_seen(texts: DataFrame, min_chars: int, bits: int, hashes: int) -> byte
     return bytes(whole)
 
 
+def salted_join(pairs: DataFrame, confirmed: DataFrame, salt_docs: int) -> DataFrame:
+    """``pairs`` (key, id, ..) with ``first`` of their confirmed key.
+
+    A key with over ``salt_docs`` documents that is also more than a thousandth of all
+    confirmed pairs meets them under a salt for each ``salt_docs``. There are fewer than a
+    thousand such keys whatever the input, so their hashes can be broadcast.
+    """
+    total = confirmed.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
+    hot = (confirmed.where((F.col("docs") > salt_docs) & (F.col("docs") * 1000 > total))
+           .groupBy(F.xxhash64("key").alias("hot")).agg(F.max(F.ceil(F.col("docs") / salt_docs)).alias("salts")))
+
+    def with_salts(df: DataFrame) -> DataFrame:
+        found = df.join(F.broadcast(hot), F.xxhash64("key") == F.col("hot"), "left").drop("hot")
+        return found.withColumn("salts", F.coalesce("salts", F.lit(1)))
+
+    left = with_salts(pairs).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts"))).drop("salts")
+    right = with_salts(confirmed).select(
+        "key", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    return left.join(right, ["key", "salt"])
+
+
 def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 2,
                min_chars: int = 1, keep: str = "first", bloom_bits: int = 1 << 25,
-               bloom_hashes: int = 3) -> DataFrame:
+               bloom_hashes: int = 3, salt_docs: int = 100_000) -> DataFrame:
     """Drop lines whose key at least ``min_docs`` documents share.
 
     A text is split at ``\\n``; a line's key is the line stripped of ASCII
@@ -129,7 +150,8 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     one id (or with no id) are one document when documents are counted; each
     such row keeps its own result. An empty table gives an empty result.
     Runs one pass over the texts at once, to build the filters, which have
-    ``bloom_bits`` bits each (a power of two).
+    ``bloom_bits`` bits each (a power of two). A line of more than ``salt_docs``
+    documents meets them under that many salts.
     """
     if keep not in ("first", "none"):
         raise ValueError("keep must be 'first' or 'none'")
@@ -163,9 +185,9 @@ def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     found = saved(rows.select("id", "text").mapInArrow(tidy(suspects), ddl), "line-suspects")
     # by key and document first: a key of very many documents is spread, and repeated rows count once
     pairs = found.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"))
-    confirmed = (pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
-                 .where(F.col("docs") >= min_docs).select("key", "first"))
-    drops = (pairs.join(confirmed, "key")
+    confirmed = saved(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
+                      .where(F.col("docs") >= min_docs), "line-confirmed")
+    drops = (salted_join(pairs, confirmed, salt_docs)
              .groupBy("id").agg(F.collect_list(F.struct(
                  "key", F.coalesce(F.col("id") == F.col("first"), F.col("first").isNull())
                  .alias("here"))).alias("keys")))

@@ -3,8 +3,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cohortkit.llm.line_dedup import BloomPair, bit_places, line_dedup, merge
+from cohortkit.llm.line_dedup import BloomPair, bit_places, line_dedup, merge, salted_join
 
 from llm_fixtures import make_docs, sql_rows  # noqa: F401
 
@@ -94,3 +95,29 @@ def test_sql_agrees(spark, make_docs, sql_rows):
         w = want.loc[r.doc_id]
         assert (r.n_lines, r.n_dropped) == (w.n_lines, w.n_dropped)
         assert hashlib.sha256(r.text.encode()).hexdigest() == w.kept_sha256
+
+
+def test_a_hot_line_is_dealt_under_salts(spark):
+    """Nothing is lost or multiplied, the parts are even, and there are few hot keys."""
+    n = 3000
+    rows = [(f"k{i % 700}" if i % 3 else "hot", i, 1) for i in range(n)] + [("hot", None, 1)]
+    pairs = spark.createDataFrame(rows, "key string, id long, n long").repartition(5)
+    counts = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
+    confirmed = counts.where("docs >= 2")
+    out = salted_join(pairs, confirmed, 50)
+    want = pairs.join(confirmed, "key").select("key", "id", "first")
+    got = out.select("key", "id", "first")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    parts = [r["n"] for r in out.where("key = 'hot'").groupBy("salt").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(parts) == 21 and max(parts) < 100
+    assert out.where("key != 'hot'").select("salt").distinct().count() == 1
+    assert salted_join(pairs.limit(0), confirmed.limit(0), 50).count() == 0
+
+
+def test_salts_change_no_result(spark, make_docs):
+    rows = [(i, f"shared by all\nline {i}\nline {i % 40}\n{'third' if i % 3 == 0 else i}") for i in range(300)]
+    rows += [(5, rows[5][1]), (None, "shared by all\nline 7"), (900, None)]
+    docs = make_docs(rows)
+    for keep in ("first", "none"):
+        a, b = (line_dedup(docs, keep=keep, salt_docs=s).select("doc_id", "text", "n_lines", "n_dropped") for s in (7, 10**6))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
