@@ -120,6 +120,20 @@ def histogram(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.array(*sums).alias("sums"), products([F.col("x")[i] for i in range(DIM)]))
 
 
+def meet(pooled: DataFrame, fit: DataFrame, few: int) -> DataFrame:
+    """The rows of each pool with its fits.
+
+    Up to ``few`` pools (four fits of some 400 bytes each) are broadcast. More meet their
+    rows by a shuffle under salts, so that a pool with a third of all rows is spread.
+    """
+    if fit.select("pool").distinct().limit(few + 1).count() <= few:
+        return pooled.join(F.broadcast(fit), "pool")
+    salts = 64
+    return (pooled.withColumn("salt", F.monotonically_increasing_id() % salts)
+            .join(fit.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))),
+                  ["pool", "salt"]).drop("salt"))
+
+
 def products(x: list[Column]) -> Column:
     """Sums of the products of every two of ``x``, the upper triangle row by row."""
     return F.array(*[F.sum(x[i] * x[j]) for i in range(DIM) for j in range(i, DIM)]).alias("products")
@@ -185,7 +199,7 @@ def shortest_half(q: np.ndarray) -> tuple[float, float]:
     return (q[k] + q[k + half]) / 2, float(width[k])
 
 
-def starts(pooled: DataFrame) -> DataFrame:
+def starts(pooled: DataFrame, few: int) -> DataFrame:
     """Four deterministic starts for each pool (pool, start, mu, inv, logdet, settled).
 
     0: medians, spreads from quartiles. 1: middles and widths of each statistic's shortest
@@ -212,7 +226,7 @@ def starts(pooled: DataFrame) -> DataFrame:
                   "quality-starts")
     halves = plain.where("start = 1")
     z = [(F.col("x")[i] - F.col("mu")[i]) / F.col("spread")[i] for i in range(DIM)]
-    scaled = pooled.join(halves, "pool").select("pool", F.array(*z).alias("z"))
+    scaled = meet(pooled, halves, few).select("pool", F.array(*z).alias("z"))
     norm = F.sqrt(F.aggregate("z", F.lit(1e-12), lambda a, v: a + v * v))
     bent = {2: [F.tanh(F.col("z")[i]) for i in range(DIM)], 3: [F.col("z")[i] / F.col("norm") for i in range(DIM)]}
     sums = scaled.withColumn("norm", norm).groupBy("pool").agg(
@@ -238,17 +252,18 @@ def starts(pooled: DataFrame) -> DataFrame:
     return saved(made.select("*", F.lit(float("inf")).alias("logdet"), F.lit(False).alias("settled")), "quality-fit")
 
 
-def least_determinant(pooled: DataFrame, share: float, max_steps: int, tolerance: float) -> DataFrame:
+def least_determinant(pooled: DataFrame, share: float, max_steps: int, tolerance: float,
+                      few: int = 2000) -> DataFrame:
     """Per pool the fit (pool, start, mu, inv) of least determinant, over all starts.
 
     With the floors added to the scatter a step still never raises the determinant (its
     logarithm is concave); a start is left alone once a step lowers it by less than
     ``tolerance``.
     """
-    fit = starts(pooled)
+    fit = starts(pooled, few)
     for _ in range(max_steps):
         moving = fit.where(~F.col("settled"))
-        bins = histogram(pooled.join(moving, "pool"))
+        bins = histogram(meet(pooled, moving, few))
         new = bins.groupBy("pool", "start").applyInPandas(
             concentrate(share), "pool string, start int, mu array<double>, inv array<double>, logdet double")
         new = new.select("pool", "start", F.struct("mu", "inv", "logdet").alias("new"))
@@ -293,7 +308,8 @@ def pools(scored: DataFrame, min_rows: int) -> tuple[DataFrame, DataFrame]:
 def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   source_col: str = "source", columns: list[str] | None = None, min_words: int = 10,
                   max_repeat_percent: int = 20, subset: float = 0.5, max_steps: int = 40,
-                  tolerance: float = 1e-3, min_rows: int = 100, max_distance: float = 120.0) -> DataFrame:
+                  tolerance: float = 1e-3, min_rows: int = 100, max_distance: float = 120.0,
+                  few: int = 2000) -> DataFrame:
     """Measures of every document and whether it is kept.
 
     Returns ``columns`` (default: all of the input's) and ``n_words``,
@@ -309,7 +325,8 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     than ``min_rows`` such documents is judged by the estimate for all rows of
     its language, and a language with fewer by the estimate for all rows; if
     these are fewer, the base rules alone decide. An estimate withstands junk
-    in just under half of its rows (``1 - subset``).
+    in just under half of its rows (``1 - subset``). Estimates of up to ``few``
+    groups are broadcast, those of more are shuffled; results are the same.
 
     A NULL text has no words. NULL languages or sources are groups of their
     own. Rows repeat as given. An empty table gives an empty result.
@@ -339,11 +356,11 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     scored = rows.where(~F.col("base_failed")).select("lang", "source", "x")
     helps, judge = pools(scored, min_rows)
     match = F.col("lang").eqNullSafe(F.col("pool_lang")) & F.col("source").eqNullSafe(F.col("pool_source"))
-    pooled = scored.join(helps, match).select("pool", "x")
-    fit = saved(least_determinant(pooled, subset, max_steps, tolerance), "quality-fit")
+    pooled = saved(scored.join(helps, match).select("pool", "x"), "quality-pooled")
+    fit = saved(least_determinant(pooled, subset, max_steps, tolerance, few), "quality-fit")
     kind = "pool string, start int, mu array<double>, inv array<double>, scale double"
     for _ in range(2):  # all rows that are not far; then the scale of what came out
-        bins = histogram(pooled.join(fit.select("pool", "start", "mu", "inv"), "pool"))
+        bins = histogram(meet(pooled, fit.select("pool", "start", "mu", "inv"), few))
         last, fit = fit, saved(bins.groupBy("pool", "start").applyInPandas(reweigh(0.975), kind), "quality-fit")
     judged = saved(judge.join(last.drop("scale"), "pool").join(fit.select("pool", "scale"), "pool")
                    .select("pool_lang", "pool_source", "mu", "inv", "scale"), "quality-fit")

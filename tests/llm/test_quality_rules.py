@@ -139,6 +139,15 @@ def test_estimate_agrees_with_a_direct_one(spark, junk):
     assert {i for i in got if not got[i]["kept"]} == bad
 
 
+def test_many_groups_meet_by_salt(spark):
+    """The same distances whether estimates are broadcast or shuffled."""
+    r = random.Random(8)
+    rows = [(i, prose(r, 50), "en", f"s{i % 3}", None) for i in range(360)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    a, b = ({x["doc_id"]: x["distance"] for x in quality_rules(df, columns=["doc_id"], few=few).collect()} for few in (0, 10))
+    assert len(a) == 360 and all(a[i] == pytest.approx(b[i], rel=1e-9) for i in a)
+
+
 def test_a_step_never_raises_the_determinant():
     """From any start, also with rows that tie."""
     r = np.random.default_rng(3)
