@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -88,6 +89,19 @@ def row_count(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.fromiter((np.count_nonzero(mask[a:b]) for a, b in zip(ends, ends[1:])), np.int64, len(ends) - 1)
 
 
+def release() -> None:
+    """Free memory of this Python process back to the system.
+
+    Unreachable frames go first, which also lets the JVM forget their plans.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: nothing to trim
+        pass
+
+
 def tidy(work: Callable) -> Callable:
     """``work`` for ``mapInArrow``, giving free memory back to the system when a task ends.
 
@@ -96,9 +110,5 @@ def tidy(work: Callable) -> Callable:
     """
     def run(batches):
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # not glibc: nothing to trim
-            pass
+        release()
     return run

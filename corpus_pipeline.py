@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import packed, quoted, saved, table
+from cohortkit.llm.common import packed, quoted, release, saved, table
 from cohortkit.llm.line_dedup import line_dedup
 from cohortkit.llm.ngram_join import near_duplicates
 from cohortkit.llm.packing import pack
@@ -48,6 +48,7 @@ def _stage(work):
         before = set(scratch_paths())
         out = work(spark, docs, sf_dir)
         _made.setdefault(work.__name__, []).extend(p for p in scratch_paths() if p not in before)
+        release()  # what the driver held for this stage's filters, counters and training
         return out
     return run_stage
 
