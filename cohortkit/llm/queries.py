@@ -144,6 +144,25 @@ def op7_ngram_join(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS k
+  FROM (SELECT *, unnest(generate_series(1, len(w) - least(len(w), 5) + 1)) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+met AS (SELECT a.r AS r1, b.r AS r2, count(*) AS n_both FROM s a JOIN s b ON a.k = b.k AND a.r < b.r GROUP BY ALL),
+linked AS (
+  SELECT r1, r2 FROM met JOIN sizes x ON x.r = r1 JOIN sizes y ON y.r = r2 WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)),
+edges AS (SELECT r1 AS a, r2 AS b FROM linked UNION SELECT r2, r1 FROM linked),
+reach AS (SELECT r AS a, r AS b FROM w UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN sizes USING (r)
+JOIN (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN w ON w.r = reach.b GROUP BY a) USING (r)
+"""
+
+
 def op8_quality_classifier(spark, sf_dir):
     """Documents sampled by importance for the text labelled good."""
     return importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), columns=["doc_id"])
@@ -260,5 +279,6 @@ ORACLE_SQL = {
     "op1_nearest_neighbours": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
     "op4_chat_format": OP4_SQL,
+    "op7_ngram_join": OP7_SQL,
     "op11_decontamination": OP11_SQL,
 }

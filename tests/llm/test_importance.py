@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -77,3 +78,48 @@ def test_nulls_repeats_ties_and_empty(spark):
     assert len(got) == 5 and {x["n_grams"] for x in got if not x["text"]} == {0}
     assert importance_sample(docs.limit(0), labels).count() == 0
     assert importance_sample(docs, labels, share=0.0).where(F.col("kept")).count() == 0
+
+
+def test_whole_result_by_brute_force(spark):
+    """Models, weights, keys and kept rows by plain Python over every row."""
+    r = random.Random(6)
+    alphabet, n, buckets, smoothing, seed = "ab cé", 4, 1 << 8, 1e-2, 11
+    rows = [(i, "".join(r.choices(alphabet, k=r.choice([0, 3, 4, 50, 400]))) or None, "k") for i in range(120)]
+    rows += [(7, rows[7][1], "k"), (None, "abab abab", "k")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    labels = [(i, int(i % 3 > 0)) for i in range(0, 120, 2)] + [(4, 0), (500, 1)]
+    out = importance_sample(docs, spark.createDataFrame(labels, "doc_id long, quality int"), n=n, buckets=buckets)
+
+    def grams(text):
+        raw = (text or "").encode()
+        return [hash_of(raw[i:i + n]) for i in range(len(raw) - n + 1)]
+
+    def hash_of(gram):
+        h = 0
+        for byte in gram:
+            h = (h * 257 + byte) % (1 << 64)
+        return (h * 0x9E3779B97F4A7C15) % (1 << 64) >> 56
+
+    good = {i: min(q for k, q in labels if k == i) for i, _ in labels}
+    raw, target = [0] * buckets, [0] * buckets
+    for i, text, _ in rows:
+        for g in grams(text):
+            raw[g] += 1
+            target[g] += good.get(i, 0)
+
+    def log_p(counts):
+        p = [c / sum(counts) + smoothing / buckets for c in counts]
+        return [math.log(x / sum(p)) for x in p]
+
+    ratio = [a - b for a, b in zip(log_p(target), log_p(raw))]
+    noise = {x["doc_id"]: x["u"] for x in docs.select("doc_id", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)).alias("u")).collect()}
+    want = []
+    for i, text, _ in rows:
+        weight = sum(ratio[g] for g in grams(text))
+        want.append((repr(i), len(grams(text)), weight, weight - math.log(-math.log((noise[i] + 0.5) / (1 << 52)))))
+    k = round(sum(good.values()) / len(good) * len(rows))
+    least = sorted((w[3] for w in want), reverse=True)[k - 1]
+    got = sorted((repr(x["doc_id"]), x["n_grams"], x["log_weight"], x["gumbel_key"], x["kept"]) for x in out.collect())
+    assert len(got) == len(want)
+    for g, w in zip(got, sorted(want)):
+        assert g[:2] == w[:2] and g[2:4] == pytest.approx(w[2:], abs=1e-8) and g[4] == (w[3] >= least - 1e-9)

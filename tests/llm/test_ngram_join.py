@@ -2,13 +2,15 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cohortkit.llm.components import components
 from cohortkit.llm.ngram_join import bitmap_bits, fold, may_link, near_duplicates, parity_bitmap, shingle_sets, size_band
+from cohortkit.llm.queries import OP7_SQL
 from cohortkit.llm.words import word_hashes
 
-from llm_fixtures import make_docs  # noqa: F401
+from llm_fixtures import make_docs, sql_rows  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -134,3 +136,21 @@ def test_sizes_that_may_link_are_in_neighbouring_bands(percent):
     largest = 100 * n // percent  # the largest set that may link with one of n
     assert (np.diff(band) >= 0).all()
     assert (size_band(largest, percent) - band <= 1).all()
+
+
+def test_components_against_sql(spark, sql_rows):
+    """The query's SQL on texts whose similarities lie around the limit, with chains, copies and odd texts."""
+    r = random.Random(9)
+    texts = [None, "", " \n", "one", "One", "a b c d", "a b c d e", "A b\x0bc d e", "é é é é é é é"]
+    for _ in range(12):
+        words = [r.choice("abcdefghijklmnop") + r.choice("xyz") for _ in range(r.choice([6, 30, 60]))]
+        for _ in range(8):
+            texts.append(" ".join(words))
+            at = r.randrange(len(words))
+            words = words[:at] + r.choices("uvw", k=r.randint(0, 3)) + words[at + r.randint(0, 3):]
+    frame = pd.DataFrame({"doc_id": r.sample(range(1000), len(texts)), "text": texts})
+    docs = spark.createDataFrame(list(frame.itertuples(index=False, name=None)), "doc_id long, text string")
+    want = sql_rows(OP7_SQL, documents=frame)
+    got = near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(want.itertuples(index=False, name=None))
+    assert (want["doc_id"] != want["component_id"]).sum() > 20
