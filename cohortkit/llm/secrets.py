@@ -1,18 +1,21 @@
 """Secret scans: fixed patterns, and a character network over further candidates.
 
-The base patterns always count. Besides them every longer run of key
-characters with a digit in it is a candidate; a convolutional network
-(``char_cnn``) reads it with its surroundings, a long one by overlapping
-windows of which the highest score counts, and adds those it takes for
-secrets. It is trained here, on findings labelled by the base patterns in a
-bounded sample of the corpus and on the same findings in other spellings.
+The base patterns always count. Besides them every longer stretch of key
+characters with a digit or mixed case in it is a candidate; a convolutional
+network (``char_cnn``) reads it with its surroundings, a long one by
+overlapping windows of which the highest score counts, and adds those it
+takes for secrets. It is trained here, on findings labelled by the base
+patterns in a bounded sample of the corpus and on the same findings in other
+spellings. A candidate that no base pattern matches has no label: it may be a
+key of another kind. It teaches the network only once a first network, which
+has seen generated harmless runs alone, ranks it below nearly all secrets.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,8 @@ HEX_LENGTH = 24
 
 CANDIDATE_LENGTH = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % CANDIDATE_LENGTH)
-DIGIT = re.compile(r"[0-9]")
+KEYLIKE = re.compile(r"[0-9]|[a-z][A-Z]")
+WORD = re.compile(rb"(?<![A-Za-z0-9+/_=.-])[A-Za-z]?[a-z]{2,8}(?![A-Za-z0-9+/_=-])")
 LEFT, BODY, RIGHT = 24, 48, 8
 LENGTH = LEFT + BODY + RIGHT
 STEP = 16  # between the windows over a longer candidate
@@ -52,17 +56,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of key characters with a digit that touch no base span."""
-    out = []
+    """Stretches of key characters between base spans that have a digit, or an upper-case
+    letter after a lower-case one."""
+    out: list[tuple[int, int]] = []
+
+    def add(start: int, end: int) -> None:
+        if end - start >= CANDIDATE_LENGTH and KEYLIKE.search(text, start, end):
+            out.append((start, end))
+
     spans = iter(sorted((s, e) for s, _, e in taken))
     ahead = next(spans, None)
-    reach = 0  # the end of the base spans that begin before the candidate ends
+    reach = 0  # the end of the base spans met so far
     for m in CANDIDATE.finditer(text):
         while ahead and ahead[0] < m.end():
+            add(max(reach, m.start()), ahead[0])
             reach = max(reach, ahead[1])
             ahead = next(spans, None)
-        if reach <= m.start() and DIGIT.search(m.group()):
-            out.append(m.span())
+        add(max(reach, m.start()), m.end())
     return out
 
 
@@ -101,9 +111,11 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     long = np.flatnonzero(hi - lo >= CANDIDATE_LENGTH)
     out = np.zeros(len(offsets) - 1, bool)
     if len(long):
+        lower, upper = (data >= 97) & (data < 123), (data >= 65) & (data < 91)
         digits = np.concatenate([[0], np.cumsum((data >= 48) & (data < 58))])
+        humps = np.concatenate([[0], np.cumsum(lower[:-1] & upper[1:])])
         lo, hi = lo[long], hi[long]
-        keep = digits[hi] > digits[lo]
+        keep = (digits[hi] > digits[lo]) | (humps[hi - 1] > humps[lo])
         # hex runs and access keys may have no digit: runs of their length count anyway
         keep |= hi - lo >= ACCESS_LENGTH
         out[np.searchsorted(offsets, lo[keep], side="right") - 1] = True
@@ -121,17 +133,37 @@ def spellings(value: str, rng: np.random.Generator) -> list[str]:
     plain = base64.b64encode(raw).decode().rstrip("=")
     size = int(rng.integers(20, 41))
     safe = re.sub("[+/]", "x", plain)
-    return [plain[:size], safe[:size] + "0", f"sk_{safe[:size]}7", f"ghp_{safe[:size]}3", raw.hex().upper()[:size],
-            f"{raw.hex()[:8]}-{raw.hex()[8:12]}-{raw.hex()[12:16]}-{raw.hex()[16:20]}-{raw.hex()[20:32]}"]
+    name = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 6)))) + str(rng.choice(list("_-.")))
+    letters = "".join(c for c in safe if not c.isdigit())
+    return [plain[:size], safe[:size] + "0", f"sk_{safe[:size]}7", f"{name}{safe[:size]}3", raw.hex().upper()[:size],
+            f"{raw.hex()[:8]}-{raw.hex()[8:12]}-{raw.hex()[12:16]}-{raw.hex()[16:20]}-{raw.hex()[20:32]}",
+            base64.b32encode(raw).decode()[:size], f"{safe[:size].lower()}9", letters[:max(size, 16)],
+            f"{name}{int.from_bytes(raw[:5], 'big')}-{safe[:size]}", f"{safe[:size]}.{safe[::-1][:size]}1"]
+
+
+def innocent(rng: np.random.Generator, words: Sequence[str] = ()) -> str:
+    """A long run of key characters with digits or mixed case that is no secret; ``words``:
+    what it may be made of besides made-up words."""
+    def word() -> str:
+        if len(words) and rng.random() < 0.6:
+            return words[int(rng.integers(len(words)))]
+        return "".join(rng.choice(list("etaoinshrdlu"), int(rng.integers(3, 9))))
 
-
-def innocent(rng: np.random.Generator) -> str:
-    """A long run of key characters with digits that is no secret."""
-    word = lambda: "".join(rng.choice(list("etaoinshrdlu"), int(rng.integers(3, 9))))
     n = lambda a, b: str(int(rng.integers(a, b)))
-    return [f"{word()}{n(1, 99)}.{word()}.example.com", f"{word()}_{word()}_{word()}_{n(1, 999)}",
-            f"20{n(10, 30)}-0{n(1, 9)}-{n(10, 28)}-{word()}-{word()}", f"{word()}/{word()}/{word()}{n(1, 99)}.html",
-            n(10**15, 10**18), f"{word()}-{word()}-{word()}-{n(1, 99)}"][int(rng.integers(0, 6))]
+    if rng.random() < 0.5:
+        return [f"{word()}{n(1, 99)}.{word()}.example.com", f"{word()}_{word()}_{word()}_{n(1, 999)}",
+                f"20{n(10, 30)}-0{n(1, 9)}-{n(10, 28)}-{word()}-{word()}", f"{word()}/{word()}/{word()}{n(1, 99)}.html",
+                n(10**15, 10**18), f"{word()}-{word()}-{word()}-{n(1, 99)}"][int(rng.integers(0, 6))]
+    if rng.random() < 0.15:
+        return [f"20{n(10, 30)}-{n(10, 13)}-{n(10, 29)}T{n(10, 24)}.{n(10, 60)}.{n(10, 60)}", f"0.{n(10**14, 10**17)}",
+                f"{n(1, 255)}.{n(1, 255)}.{n(1, 255)}.{n(1, 255)}/{n(1, 9999)}"][int(rng.integers(0, 3))]
+    parts: list[str] = []
+    while sum(map(len, parts)) < CANDIDATE_LENGTH or len(parts) < 2:
+        parts.append(word() + (n(0, 2000) if rng.random() < 0.2 else ""))
+    joint = str(rng.choice(["/", ".", "-", "_", "=", ""]))
+    if not joint or rng.random() < 0.2:
+        parts = [x[:1].upper() + x[1:] if i or rng.random() < 0.5 else x for i, x in enumerate(parts)]
+    return joint.join(parts) + str(rng.choice(["", "", n(0, 2000), f".{n(1, 99)}", ".html", ".com"]))
 
 
 def long_path(rng: np.random.Generator, middle: str) -> tuple[str, int]:
@@ -144,13 +176,15 @@ def long_path(rng: np.random.Generator, middle: str) -> tuple[str, int]:
     return f"{before}{joint}{middle}{joint}{after}.html", len(before) + 1
 
 
-def labelled(positive: list[tuple[bytes, str]], negative: list[bytes], seed: int) -> tuple[list[bytes], np.ndarray]:
+def labelled(positive: list[tuple[bytes, str]], unlabelled: list[bytes], seed: int) -> tuple[list[bytes], np.ndarray]:
     """Training rows: findings as they are and in other spellings with and without the words
-    before them and within long runs, against candidates no rule matches and generated harmless runs."""
+    before them and within long runs, against generated harmless runs. Of the ``unlabelled``
+    candidates only the surroundings are used."""
     rng = np.random.default_rng(seed)
-    yes, no = [c for c, _ in positive], list(negative)
+    yes, no = [c for c, _ in positive], []
     values = [v for _, v in positive] or [str(i) for i in range(300)]
-    around = [c[:LEFT].decode() for c in no] + [c[:LEFT].decode() for c in yes] + ["\0" * LEFT]
+    around = [c[:LEFT].decode() for c in unlabelled] + [c[:LEFT].decode() for c in yes] + ["\0" * LEFT]
+    words = sorted({w.decode() for x in around for w in WORD.findall(x.encode())})
     for i in range(max(len(values), 600)):
         for s in spellings(f"{values[i % len(values)]}{i}", rng)[i % 3::3]:
             left = around[int(rng.integers(len(around)))] if rng.random() < 0.7 else "\0" * LEFT
@@ -159,8 +193,8 @@ def labelled(positive: list[tuple[bytes, str]], negative: list[bytes], seed: int
                 # a window as over a long run, with the key's beginning anywhere in its first step
                 run, at = long_path(rng, s)
                 yes.append(context(run, max(0, at - int(rng.integers(0, STEP))), len(run)))
-    for _ in range(max(len(yes) - len(no), 600)):
-        left, s = around[int(rng.integers(len(around)))], innocent(rng)
+    for _ in range(max(len(yes), 600)):
+        left, s = around[int(rng.integers(len(around)))], innocent(rng, words)
         no.append(context(left + s + " ", LEFT, LEFT + len(s)))
         if rng.random() < 0.5:
             run, _ = long_path(rng, s)
@@ -170,7 +204,7 @@ def labelled(positive: list[tuple[bytes, str]], negative: list[bytes], seed: int
 
 
 def findings(rows: DataFrame) -> DataFrame:
-    """Context and label of every base match and every other candidate; input: one text column."""
+    """Context of every base match (label 1) and every other candidate (0: none known); input: one text column."""
     schema = pa.schema([("label", pa.int32()), ("context", pa.binary()), ("value", pa.string()), ("rank", pa.int64())])
 
     def work(batches):
@@ -193,19 +227,38 @@ def findings(rows: DataFrame) -> DataFrame:
 
 
 def train(rows: DataFrame, *, sample: int = 2000, recall: float = 0.98, seed: int = 7) -> tuple[CharCNN, float]:
-    """The network and its threshold, from at most ``sample`` findings of either label.
+    """The network and its threshold, from at most ``sample`` base matches and as many
+    unlabelled candidates.
 
     The sample takes the distinct findings of smallest hash, so it is the same
     however the input is partitioned. A quarter of the rows is held out: it
     calibrates the probabilities and sets the threshold, the highest that
     still finds ``recall`` of the held-out secrets.
+
+    Learning is in two steps. The first network knows secrets and generated
+    harmless runs. Held-out secrets are its spies: an unlabelled candidate
+    that scores below ``recall`` of them is taken for harmless and joins the
+    second network's negatives; one that scores above is left out.
     """
     found = saved(findings(rows), "secret-findings")
     picked = {label: found.where(F.col("label") == label).select("rank", "context", "value").distinct()
               .orderBy("rank", "context", "value").limit(sample).collect() for label in (0, 1)}
-    strings, labels = labelled([(bytes(r["context"]), r["value"]) for r in picked[1]],
-                               [bytes(r["context"]) for r in picked[0]], seed)
-    codes = encode(strings, LENGTH)
+    return fit([(bytes(r["context"]), r["value"]) for r in picked[1]], [bytes(r["context"]) for r in picked[0]], recall, seed)
+
+
+def fit(positive: list[tuple[bytes, str]], unlabelled: list[bytes], recall: float, seed: int) -> tuple[CharCNN, float]:
+    """Both steps of ``train`` on sampled findings."""
+    strings, labels = labelled(positive, unlabelled, seed)
+    first, least = _fit(encode(strings, LENGTH), labels, recall, seed)
+    harmless = encode(unlabelled, LENGTH)
+    harmless = harmless[first.probabilities(harmless) < least]
+    if not len(harmless):
+        return first, least
+    return _fit(np.concatenate([encode(strings, LENGTH), harmless]),
+                np.concatenate([labels, np.zeros(len(harmless), np.float32)]), recall, seed)
+
+
+def _fit(codes: np.ndarray, labels: np.ndarray, recall: float, seed: int) -> tuple[CharCNN, float]:
     order = np.random.default_rng(seed).permutation(len(codes))
     held, rest = order[:len(order) // 4], order[len(order) // 4:]
     model = CharCNN(marks(), seed).fit(codes[rest], labels[rest], seed=seed).calibrate(codes[held], labels[held])
@@ -224,7 +277,7 @@ def secret_scan(docs: DataFrame, *, text_col: str = "text", columns: list[str] |
 
     A NULL or empty text has no spans. Rows repeat as given. An empty table
     gives an empty result. Training reads all texts once at the call and
-    takes at most ``sample`` findings of either label to the driver.
+    takes at most ``sample`` base matches and as many other candidates to the driver.
     """
     names = list(docs.columns) if columns is None else list(columns)
     text = quoted(text_col).cast("string").alias("text")
