@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cohortkit.llm.common import packed, quoted, row_count, saved, text_chunks, tidy, unpacked, WHITE
 from cohortkit.llm.words import is_space, mix, windows, word_hashes
@@ -332,7 +333,10 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     own. Rows repeat as given. An empty table gives an empty result.
     """
     names = list(docs.columns) if columns is None else list(columns)
-    base = docs.select(packed(docs.select([quoted(c) for c in names])).alias("row"),
+    # a text travels once, beside its row
+    beside = [text_col] if docs.schema[text_col].dataType == StringType() else []
+    back = text_col in names and bool(beside)
+    base = docs.select(packed(docs.select([quoted(c) for c in names]), beside).alias("row"),
                        quoted(lang_col).cast("string").alias("lang"),
                        quoted(source_col).cast("string").alias("source"),
                        quoted(text_col).cast("string").alias("text"))
@@ -343,11 +347,11 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             x = pa.ListArray.from_arrays(pa.array(np.arange(0, DIM * part.num_rows + 1, DIM), pa.int32()),
                                          pa.array(m.pop("x").ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column(i) for i in range(3)] + [pa.array(m[k], pa.int64()) for k in MEASURES] + [x],
-                names=["row", "lang", "source", *MEASURES, "x"])
+                [part.column(i) for i in range(3 + back)] + [pa.array(m[k], pa.int64()) for k in MEASURES] + [x],
+                names=["row", "lang", "source", *["text"] * back, *MEASURES, "x"])
 
     ddl = ", ".join(f"{k} long" for k in MEASURES)
-    schema = base.select("row", "lang", "source").schema
+    schema = base.select("row", "lang", "source", *["text"] * back).schema
     for field in base.sparkSession.createDataFrame([], ddl + ", x array<double>").schema:
         schema.add(field)
     rows = base.mapInArrow(tidy(work), schema)
@@ -368,4 +372,5 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= max_distance, F.lit(True))
     made = [*MEASURES, "distance", "base_failed"]
     given = {k: F.col(k) for k in made} | {"kept": kept}
-    return out.select(unpacked(out, [c for c in names if c not in given] + list(given), given))
+    order = [c for c in names if c not in given] + list(given)
+    return out.select(unpacked(out, order, ({text_col: F.col("text")} if back else {}) | given))

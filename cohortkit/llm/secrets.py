@@ -111,11 +111,12 @@ def suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     long = np.flatnonzero(hi - lo >= CANDIDATE_LENGTH)
     out = np.zeros(len(offsets) - 1, bool)
     if len(long):
-        lower, upper = (data >= 97) & (data < 123), (data >= 65) & (data < 91)
-        digits = np.concatenate([[0], np.cumsum((data >= 48) & (data < 58))])
-        humps = np.concatenate([[0], np.cumsum(lower[:-1] & upper[1:])])
         lo, hi = lo[long], hi[long]
-        keep = (digits[hi] > digits[lo]) | (humps[hi - 1] > humps[lo])
+        # a digit, or a pair of a lower-case and an upper-case letter, lies within the run
+        digits = np.flatnonzero((data >= 48) & (data < 58))
+        humps = np.flatnonzero((data[:-1] >= 97) & (data[:-1] < 123) & (data[1:] >= 65) & (data[1:] < 91))
+        keep = np.searchsorted(digits, hi) > np.searchsorted(digits, lo)
+        keep |= np.searchsorted(humps, hi - 1) > np.searchsorted(humps, lo)
         # hex runs and access keys may have no digit: runs of their length count anyway
         keep |= hi - lo >= ACCESS_LENGTH
         out[np.searchsorted(offsets, lo[keep], side="right") - 1] = True
@@ -284,7 +285,10 @@ def secret_scan(docs: DataFrame, *, text_col: str = "text", columns: list[str] |
     model, threshold = train(docs.select(text), sample=sample, recall=recall, seed=seed)
     # a fixed number of weights, as plain arrays
     shared = docs.sparkSession.sparkContext.broadcast((model.state(), threshold))
-    rows = docs.select(packed(docs.select([quoted(c) for c in names])).alias("row"), text)
+    # a text travels once, beside its row
+    beside = [text_col] if docs.schema[text_col].dataType == StringType() else []
+    back = text_col in names and bool(beside)
+    rows = docs.select(packed(docs.select([quoted(c) for c in names]), beside).alias("row"), text)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                ("score", pa.float64())]))
 
@@ -319,14 +323,15 @@ def secret_scan(docs: DataFrame, *, text_col: str = "text", columns: list[str] |
                 if p >= least:
                     spans[i].append((s, 3, e, p))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([[{"kind": KINDS[k], "start": s, "end": e, "score": p}
+                [part.column(i) for i in range(1 + back)] + [pa.array([[{"kind": KINDS[k], "start": s, "end": e, "score": p}
                                             for s, k, e, p in sorted(x)] for x in spans], kind)],
-                names=["row", "spans"])
+                names=["row", *["text"] * back, "spans"])
 
-    schema = StructType([rows.schema["row"]]).add(StructField("spans", StringType()))
+    schema = StructType([rows.schema["row"], *[rows.schema["text"]] * back]).add(StructField("spans", StringType()))
     schema["spans"].dataType = docs.sparkSession.createDataFrame([], f"spans {SPANS}").schema["spans"].dataType
     out = rows.mapInArrow(tidy(work), schema)
-    return out.select(unpacked(out, [c for c in names if c != "spans"] + ["spans"], {"spans": F.col("spans")}))
+    return out.select(unpacked(out, [c for c in names if c != "spans"] + ["spans"],
+                               ({text_col: F.col("text")} if back else {}) | {"spans": F.col("spans")}))
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[secret]", **options) -> DataFrame:
@@ -334,7 +339,7 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[secret]", *
 
     A NULL text stays NULL; other options are those of ``secret_scan``.
     """
-    found = secret_scan(docs.select(packed(docs).alias("row"), quoted(text_col).cast("string").alias("text")),
+    found = secret_scan(docs.select(packed(docs, [text_col]).alias("row"), quoted(text_col).cast("string").alias("text")),
                         text_col="text", **options)
 
     def step(acc, span):

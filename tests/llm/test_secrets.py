@@ -181,3 +181,17 @@ def test_only_surroundings_of_unlabelled_candidates_are_used():
     key = "AIzaQwErTyUiOpAsDfGhJkLzXcVbNm1234567890"
     strings, labels = labelled([], [context(f"set {key} ", 4, 4 + len(key))] * 50, 7)
     assert not any(key.encode() in s for s in strings) and 0 < labels.mean() < 1
+
+
+def test_texts_beside_their_rows(spark):
+    """A text column of any name, another type, alone, or not asked for; NULL stays NULL."""
+    key = "token=abcdefgh"
+    df = spark.createDataFrame([(key, 12345678, "r"), (None, None, "r"), ("", 5, "r")], "`row` string, number long, text string")
+    out = redact(df, text_col="row", sample=50)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect()), key=str) == sorted(
+        [("[secret]", 12345678, "r"), (None, None, "r"), ("", 5, "r")], key=str)
+    assert [c for c, _ in secret_scan(df, text_col="number", sample=50).dtypes] == ["row", "number", "text", "spans"]
+    assert secret_scan(df, text_col="number", sample=50).select("number").dtypes == [("number", "bigint")]
+    alone = secret_scan(df.select("row"), text_col="row", sample=50)
+    assert alone.columns == ["row", "spans"] and sorted(r["row"] or "-" for r in alone.collect()) == ["", "-", key]
+    assert secret_scan(df, text_col="row", columns=["text"], sample=50).columns == ["text", "spans"]
