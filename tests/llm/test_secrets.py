@@ -193,5 +193,5 @@ def test_texts_beside_their_rows(spark):
     assert [c for c, _ in secret_scan(df, text_col="number", sample=50).dtypes] == ["row", "number", "text", "spans"]
     assert secret_scan(df, text_col="number", sample=50).select("number").dtypes == [("number", "bigint")]
     alone = secret_scan(df.select("row"), text_col="row", sample=50)
-    assert alone.columns == ["row", "spans"] and sorted(r["row"] or "-" for r in alone.collect()) == ["", "-", key]
+    assert alone.columns == ["row", "spans"] and sorted(str(r["row"]) for r in alone.collect()) == ["", "None", key]
     assert secret_scan(df, text_col="row", columns=["text"], sample=50).columns == ["text", "spans"]
