@@ -9,22 +9,33 @@ from cohortkit.llm.common import saved
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One contraction of links ``(a, b)`` with ``a > b``.
+    """One contraction of links ``(a, b)`` with ``a > b``; links may come out repeated.
 
     Large star: every node's larger neighbours are linked to the least node
     around it. Small star: its smaller neighbours and itself are.
     """
+    # the aggregate and the join read one shuffle: the join's filters on its side alone would make it two
+    links = links.where(F.col("a").isNotNull() & F.col("b").isNotNull())
     flipped = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    around = links.unionByName(flipped) if large else links
+    around = (links.unionByName(flipped) if large else links).repartition("a")
     least = around.groupBy("a").agg(F.min("b").alias("low")).select(
         F.col("a").alias("node"), F.least("a", "low").alias("low"))
     joined = around.join(least, F.col("a") == F.col("node"))
     if large:
-        out = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
-    else:
-        out = (joined.where(F.col("b") != F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
-               .unionByName(least.select(F.col("node").alias("a"), F.col("low").alias("b"))))
-    return out.where(F.col("a") != F.col("b")).distinct()
+        # low <= a: named here so that the filter stays above the join
+        return joined.where(F.col("b") > F.greatest("a", "low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
+    # a node's link to its least is among those kept here: ``a`` itself and its other neighbours
+    out = joined.select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
+    return out.where(F.col("a") != F.col("b"))
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether every node is linked to one smaller node, which is linked to none: each
+    component is a star around its smallest node then, and a contraction changes nothing."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    of = ends.groupBy("e.node").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("least"))
+    return of.where((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("least") == 0))).isEmpty()
 
 
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -35,15 +46,8 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     edges = saved(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where(F.col("a") != F.col("b")).distinct(), "links")
-
-    def mark(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.min(F.xxhash64("b", "a"))).first()
-
-    before = mark(edges)
     for _ in range(max_rounds):
-        edges = saved(_star(_star(edges, large=True), large=False), "links")
-        now = mark(edges)
-        if now == before:
+        if _settled(edges):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = now
+        edges = saved(_star(_star(edges, large=True), large=False).distinct(), "links")
     raise RuntimeError("components did not settle")

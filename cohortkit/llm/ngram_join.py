@@ -34,6 +34,7 @@ from cohortkit.llm.components import components
 from cohortkit.llm.words import mix, windows, word_hashes
 
 SEGMENT = 1 << 16  # counters that travel together
+SEGMENT_TASKS = 32  # tasks that add up segments: their number is fixed, and most shuffle partitions have none
 MIN_BITS = 64
 
 
@@ -128,7 +129,8 @@ def count_table(parts: DataFrame, buckets: int) -> np.ndarray:
                 schema=schema)
 
     whole = np.zeros(buckets, np.uint32)
-    for r in parts.repartition("segment").mapInArrow(tidy(add), "segment int, counts binary").collect():  # 4 bytes a bucket
+    joined = parts.repartition("segment").coalesce(SEGMENT_TASKS).mapInArrow(tidy(add), "segment int, counts binary")
+    for r in joined.collect():  # 4 bytes a bucket
         whole[r["segment"] * segment:(r["segment"] + 1) * segment] = np.frombuffer(r["counts"], "<u4")
     return whole
 
@@ -286,29 +288,40 @@ def tiled_pairs(rows: DataFrame, percent: int, nearest: bool, together: int = 25
 
 
 def banded(rows: DataFrame) -> DataFrame:
-    """Rows (key, band, n, id, comp) in the (key, band) groups that need a comparison.
+    """Rows (key, band, n, id) once for every (key, band) group in which they are compared.
 
     A row is at home in its own band and visits the one above, so that all
-    sets of similar size meet. Groups of one component or without a row at
-    home are left out, and of the groups of the same rows (by size and two
-    64-bit hashes) all but one.
+    sets of similar size meet. ``salt`` is the part of its group it is dealt to.
     """
-    spread = rows.select("key", "n", "id", "comp", F.explode(F.array(
+    return rows.select("key", "n", "id", F.explode(F.array(
         F.struct(F.col("band").alias("band"), F.lit(1).alias("home")),
         F.struct((F.col("band") + 1).alias("band"), F.lit(0).alias("home")))).alias("t")).select(
-        "key", F.col("t.band").alias("band"), "id", "n", "comp", F.col("t.home").alias("home"))
+        "key", F.col("t.band").alias("band"), "id", "n", F.col("t.home").alias("home"),
+        F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+
+
+def mixed(spread: DataFrame, comp: DataFrame, repeated: bool) -> DataFrame:
+    """The rows of ``banded``, with their component, in the groups that need a comparison.
+
+    Groups of one component or without a row at home are left out and, if
+    there may be ``repeated`` ones, of the groups of the same rows (by size
+    and two 64-bit hashes) all but one.
+    """
+    placed = (spread.join(comp, F.col("id") == F.col("node"), "left")
+              .select("key", "band", "id", "n", F.coalesce("component", "id").alias("comp"), "home", "salt"))
+    facts = [F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("home").alias("any_home"),
+             F.collect_set("salt").alias("salts")]
     mark = F.struct("id", "home")
-    spread = spread.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    mixed = (spread.groupBy("key", "band").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("home").alias("any_home"),
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(mark)).alias("one"),
-        F.bit_xor(F.xxhash64(F.lit(1), mark)).alias("two"), F.collect_set("salt").alias("salts"))
-        .where((F.col("low") < F.col("high")) & (F.col("any_home") == 1)))
-    # documents that share many keys without linking are the same group on each of them
-    once = (mixed.groupBy("band", "size", "one", "two").agg(F.min_by(F.struct("key", "salts"), "key").alias("g"))
-            .select(F.col("g.key").alias("key"), "band", F.explode("g.salts").alias("salt")))
+    if repeated:
+        facts += [F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64(mark)).alias("one"),
+                  F.bit_xor(F.xxhash64(F.lit(1), mark)).alias("two")]
+    once = placed.groupBy("key", "band").agg(*facts).where((F.col("low") < F.col("high")) & (F.col("any_home") == 1))
+    if repeated:
+        # documents that share many keys without linking are the same group on each of them
+        once = (once.groupBy("band", "size", "one", "two").agg(F.min_by(F.struct("key", "salts"), "key").alias("g"))
+                .select(F.col("g.key").alias("key"), "band", F.col("g.salts").alias("salts")))
     # a group's rows are found again by (key, band, salt): a large one is spread over its salts
-    return spread.join(once, ["key", "band", "salt"])
+    return placed.join(once.select("key", "band", F.explode("salts").alias("salt")), ["key", "band", "salt"])
 
 
 def tiles(rows: DataFrame, block: int) -> DataFrame:
@@ -348,10 +361,10 @@ def copies_of(sized: DataFrame, salts: int = 256) -> DataFrame:
     """(id, first): documents whose set an earlier id has too, and the first id that has it.
 
     A set's first id is matched back by (set, salt), so one that a third of all
-    documents have is spread over the salts.
+    documents have is spread over the salts. An id with several rows may come more than once.
     """
     salt = F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")
-    rows = sized.select("digest", "id").distinct().withColumn("salt", salt)
+    rows = sized.select("digest", "id").withColumn("salt", salt)
     part = rows.groupBy("digest", "salt").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("m"))
     whole = (part.groupBy("digest").agg(F.min("first").alias("first"), F.sum("m").alias("m"),
                                         F.collect_list("salt").alias("salts"))
@@ -427,16 +440,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     shared = saved(shared_keys(texts.mapInArrow(tidy(prefix), "key long, n long, id long"), percent), "shared-keys")
     stars = (shared.select(F.col("id").alias("b"), F.explode(F.array("leader", "lower")).alias("a"))
              .where(F.col("a") != F.col("b")).select("a", "b").distinct())
-    links = exact_links(stars, known, texts, words, percent)
+    bounded = bounded_pairs(stars, known, percent)
+    links = (bounded.where("same").select("a", "b")
+             .unionByName(exact_links(bounded.where(~F.col("same")).select("a", "b"), texts, words, percent)))
     comp = components(links.unionByName(copies.select(F.col("id").alias("a"), F.col("first").alias("b"))))
 
-    for nearest in [True] * rounds + [False]:
-        placed = (shared.select("key", "band", "n", "id").distinct().join(comp, F.col("id") == F.col("node"), "left")
-                  .select("key", "band", "n", "id", F.coalesce("component", "id").alias("comp")))
-        rows = saved(banded(placed), "mixed-keys").join(known.select("id", "n", "bitmap"), ["id", "n"])
-        more = exact_links(tiled_pairs(tiles(rows, block), percent, nearest), known, texts, words, percent)
-        # the components so far stand for the links that made them
-        comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    # components only grow, so a group that needs no comparison now will not need one in a later round
+    rows = saved(mixed(banded(shared.select("key", "band", "n", "id").distinct()), comp, True), "mixed-keys")
+    left = rounds
+    while True:
+        tiled = tiles(rows.join(known.select("id", "n", "bitmap"), ["id", "n"]), block)
+        more = exact_links(tiled_pairs(tiled, percent, left > 0), texts, words, percent)
+        grown = not more.isEmpty()
+        if grown:
+            # the components so far stand for the links that made them
+            comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        if left <= 0:
+            break
+        # a round that links nothing would repeat itself: the last one is next
+        left = left - 1 if grown else 0
+        if grown:
+            rows = saved(mixed(rows.drop("comp"), comp, False), "mixed-keys")
     out = sketches.join(comp, F.col("id") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "id").alias("component_id"))
@@ -481,14 +505,15 @@ def id_filter(ids: DataFrame) -> bytes:
 
     ddl = "segment int, bits binary"
     out = bytearray(FILTER_BITS // 8)
-    for r in ids.mapInArrow(tidy(gather), ddl).repartition("segment").mapInArrow(tidy(join), ddl).collect():  # the filter's size at most
+    joined = (ids.mapInArrow(tidy(gather), ddl).repartition("segment").coalesce(SEGMENT_TASKS)
+              .mapInArrow(tidy(join), ddl))
+    for r in joined.collect():  # the filter's size at most
         out[r["segment"] * SEGMENT:(r["segment"] + 1) * SEGMENT] = r["bits"]
     return bytes(out)
 
 
-def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: equal sets, or bitmaps that allow it and enough common shingles."""
-    spark = pairs.sparkSession
+def bounded_pairs(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps allow a link, and whether their sets are the ``same``."""
     left = known.select(F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("n", "digest", "bitmap")])
     right = known.select(F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("n", "digest", "bitmap")])
     near = pairs.join(left, "a").join(right, "b").where(
@@ -509,11 +534,15 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
                                               pa.array(same[good])], names=["a", "b", "same"])
 
     same = (F.col("a_digest") == F.col("b_digest")).alias("same")
-    open_pairs = saved(near.select("a", "b", "a_n", "b_n", same, "a_bitmap", "b_bitmap")
-                       .mapInArrow(tidy(bound), "a long, b long, same boolean"), "bounded-pairs")
-    unsure = open_pairs.where(~F.col("same")).select("a", "b")
-    needed = saved(unsure.select(F.col("a").alias("id")).union(unsure.select("b")).distinct(), "needed-ids")
+    return saved(near.select("a", "b", "a_n", "b_n", same, "a_bitmap", "b_bitmap")
+                 .mapInArrow(tidy(bound), "a long, b long, same boolean"), "bounded-pairs")
+
 
+def exact_links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: those with enough common shingles."""
+    spark = pairs.sparkSession
+    pairs = saved(pairs, "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     wanted = spark.sparkContext.broadcast(id_filter(needed))  # a fixed number of bits
 
     def arrays(batches):
@@ -537,7 +566,7 @@ def exact_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, words: int
             at = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
-    checked = (unsure.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a")
+    checked = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_shingles")), "a")
                .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("b_shingles")), "b")
                .select("a", "b", "a_shingles", "b_shingles").mapInArrow(tidy(decide), "a long, b long"))
-    return saved(open_pairs.where("same").select("a", "b").unionByName(checked), "links")
+    return saved(checked, "links")

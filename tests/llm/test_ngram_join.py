@@ -5,7 +5,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cohortkit.llm.components import components
+from cohortkit.llm.components import _settled, _star, components
 from cohortkit.llm.ngram_join import bitmap_bits, fold, may_link, near_duplicates, parity_bitmap, shingle_sets, size_band
 from cohortkit.llm.queries import OP7_SQL
 from cohortkit.llm.words import word_hashes
@@ -154,3 +154,24 @@ def test_components_against_sql(spark, sql_rows):
     got = near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == sorted(want.itertuples(index=False, name=None))
     assert (want["doc_id"] != want["component_id"]).sum() > 20
+
+
+def test_a_contraction_shuffles_once_and_settles_at_once(spark):
+    """Check of the number of shuffles: each has a task for every partition, however few links there are."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    links = spark.createDataFrame([(5, 1), (5, 3), (7, 5)], "a long, b long")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for large in (True, False):
+            star = _star(links, large)
+            plan = star._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"Exchange hashpartitioning", plan)) - plan.count("ReusedExchange") == 1, plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert not _settled(links)
+    assert _settled(spark.createDataFrame([(5, 1), (3, 1), (9, 2)], "a long, b long"))
+    assert not _settled(spark.createDataFrame([(5, 1), (5, 2)], "a long, b long"))
+    assert _settled(links.limit(0))
