@@ -14,6 +14,7 @@ import heapq
 import os
 import re
 from array import array
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,8 @@ from cohortkit.llm.common import packed, quoted, tidy, unpacked
 #: Separators that ``str.split`` knows and the tokenizers' ``\s`` does not.
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: Words of letters and marks after them; a pre-tokenizer cuts between the two and nowhere else.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _PROBES = ("a", "word", "Étranger", "größe", "naïve", "...", "!?#$", "señal", "ÿ", "internationally")
 
 
@@ -51,7 +53,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.parts = limit, {}
+        self.limit, self.tokenize = limit, self.tokenizer.model.tokenize
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
         self.mark_id, self.mark = next(iter(special.items()))
         self.special = re.compile("|".join(map(re.escape, special.values())))
@@ -63,7 +65,7 @@ class WordIds(dict):
         """Ids of one lower-case part without the steps before the model."""
         if not part.isascii():
             part = "".join(map(self.byte_characters.__getitem__, part.encode()))
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
+        return array(self.code, [t.id for t in self.tokenize(part)]).tobytes()
 
     def whole(self, text: str) -> bytes:
         """Ids of any text; special tokens' strings in it are ordinary text."""
@@ -88,31 +90,39 @@ class WordIds(dict):
         new = [w for w in words if w not in self]
         if len(self) + len(new) > self.limit:  # forget, to bound memory
             self.clear()
-            self.parts.clear()
             new = list(words)
-        known, rest = self.parts, []
+        # a plain word without marks is its own part, so parts are kept among the words
+        rest, known = [], self.get
         for w in new:
-            m = _PLAIN.fullmatch(w) if self.direct else None
-            if m:
-                ids = b""
-                for part in (m[1].lower(), m[2]):
-                    if part not in known:
-                        known[part] = self.plain(part)
-                    ids += known[part]
-                self[w] = ids
-            elif self.special.search(w):
-                self[w] = self.whole(w)
-            else:
-                rest.append(w)
+            head = w.rstrip(_MARKS) if self.direct else ""
+            if not head or head.strip(_LETTERS):
+                if self.special.search(w):
+                    self[w] = self.whole(w)
+                else:
+                    rest.append(w)
+                continue
+            low, marks = head.lower(), w[len(head):]
+            ids = known(low)
+            if ids is None:
+                ids = self[low] = self.plain(low)
+            if marks:
+                more = known(marks)
+                if more is None:
+                    more = self[marks] = self.plain(marks)
+                ids += more
+            self[w] = ids
         self._encode(rest)
 
 
 def encode_texts(texts: list[str], ids: WordIds) -> list[np.ndarray]:
     """Ids of each text. White space only separates in this tokenizer, so a text's
-    ids are those of its words, and each distinct word is encoded once."""
-    split = [None if _CONTROL.search(t) else t.split() for t in texts]
+    ids are those of its words, and each distinct word is encoded once, whatever its
+    case where the tokenizer is seen to lower ASCII letters."""
+    split = [None if _CONTROL.search(t) else (t.lower() if ids.direct and t.isascii() else t).split() for t in texts]
     ids.learn(set().union(*[w for w in split if w]))
-    return [np.frombuffer(ids.whole(t) if words is None else b"".join(map(ids.__getitem__, words)), ids.dtype)
+    return [np.frombuffer(ids.whole(t) if words is None else
+                          b"".join(itemgetter(*words)(ids)) if len(words) > 1 else b"".join(map(ids.__getitem__, words)),
+                          ids.dtype)
             for t, words in zip(texts, split)]
 
 

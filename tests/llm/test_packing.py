@@ -91,3 +91,13 @@ def test_few_long_documents_are_spread(spark, make_docs):
     shards = [r[0] for r in out.select((F.col("sequence_id") / (1 << 32)).cast("long")).distinct().collect()]
     assert len(shards) >= 4
     assert out.agg(F.sum("length")).first()[0] == out.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_a_word_is_encoded_once_whatever_its_case():
+    ids = WordIds(PATH)
+    texts = ["Word word WORD, word! straße Straße", "wORD ' it's <|ENDOFTEXT|> <|endoftext|> İ é É ª µ", "ÉTÉ été."]
+    got = [a.tobytes() for a in encode_texts(texts, ids)]
+    assert got == [ids.whole(t) for t in texts]
+    ascii_only = WordIds(PATH)
+    encode_texts(["Word word WORD wOrd, WORD,"], ascii_only)
+    assert set(ascii_only) == {"word", "word,", ","}
