@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit import vocab
+from cohortkit import session, vocab
 from cohortkit.operators import dedup, harmonise as hz, rules, windows
 from cohortkit.plans.cohort import cohort
 from cohortkit.session import scratch_path
@@ -178,6 +178,7 @@ def q_mms(spark, sf_dir):
 
 
 def q_cohort_frame(spark, sf_dir):
+    session.compiled(spark)
     return cohort(cohort_fixture(spark, sf_dir), "patientid")
 
 

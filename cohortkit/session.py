@@ -28,6 +28,17 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def compiled(spark: SparkSession, limit: int = 8000) -> None:
+    """Let generated code be compiled: HotSpot interprets methods of more than 8,000 bytes, and the
+    finished frame's are larger. With this limit such stages run as split projections, to the same
+    rows. A limit that the session was given stays."""
+    if int(spark.conf.get(METHOD_LIMIT)) > limit and METHOD_LIMIT not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(METHOD_LIMIT, str(limit))
+
+
 _handed_out: dict[str, object] = {}  # path -> a function that deletes it
 
 

@@ -74,3 +74,17 @@ def test_run_parses_each_extract_once(spark, tmp_path):
         out = run(spark, str(tmp_path / "plus"), str(tmp_path / "legacy"), row_id=row_id)
         # the frame reads the copy written at the call, never the text
         assert "FileScan csv" not in plan(out) and "FileScan parquet" in plan(out)
+
+
+def test_the_frame_runs_with_methods_that_hotspot_compiles(spark):
+    from cohortkit.session import METHOD_LIMIT
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        spark.conf.set(METHOD_LIMIT, "65535")
+        QUERIES["cohort_frame"](spark, SF_SMALL)
+        assert int(spark.conf.get(METHOD_LIMIT)) <= 8000
+        spark.conf.set(METHOD_LIMIT, "500")
+        QUERIES["cohort_frame"](spark, SF_SMALL)
+        assert spark.conf.get(METHOD_LIMIT) == "500"
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
